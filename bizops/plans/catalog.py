@@ -222,7 +222,7 @@ def abc_classes(s: Star):
 
 @query("sku bigint, demand_avg double, demand_std double, demand_sum bigint, cv double")
 def demand_stats(s: Star):
-    return _six_places(abcxyz.demand_stats(s.demand()), "demand_avg", "demand_std", "cv")
+    return _six_places(abcxyz.demand_stats(s.demand()), "demand_std", "cv")
 
 
 @query("sku bigint, cv double, xyz string")
@@ -269,7 +269,7 @@ POLICY_SCHEMA = (
 
 @query(POLICY_SCHEMA)
 def inventory_policy(s: Star):
-    return _six_places(_policy(s), "demand_avg", "demand_std", "cv")
+    return _six_places(_policy(s), "demand_std", "cv")
 
 
 @query("sku bigint, class string, z_score double, safety_stock bigint, reorder_point bigint,"
@@ -298,7 +298,7 @@ def inventory_impact(s: Star):
 
 @query("sku bigint, orders_now bigint, orders_optimal double, order_saving double")
 def eoq_frequency(s: Star):
-    return _six_places(abcxyz.eoq_frequency(_policy(s)), "orders_optimal", "order_saving")
+    return abcxyz.eoq_frequency(_policy(s))
 
 
 @query("class string, skus bigint, orders_optimal_mean double, order_saving double")

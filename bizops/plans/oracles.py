@@ -137,7 +137,7 @@ VIEWS = {
     "classed": """
         SELECT sku, product_name AS name, category, abc, xyz, abc || xyz AS class, cv, revenue, running, total,
                demand_avg, demand_std, lead_time_days, order_cost, stock_policy AS stock_on_hand,
-               CAST(unit_cost AS DOUBLE) AS unit_cost, CAST(unit_price AS DOUBLE) AS unit_price
+               unit_cost, unit_price
         FROM abc JOIN (SELECT *, CASE WHEN cv < 0.30 THEN 'X' WHEN cv < 0.60 THEN 'Y' ELSE 'Z' END AS xyz
                        FROM stats) USING (sku)
         JOIN products ON product_id = sku""",
@@ -148,7 +148,7 @@ VIEWS = {
                CAST(round_even(greatest(demand_avg * lt + ss + eoq / 2, 0), 0) AS BIGINT) AS optimal_stock
         FROM (SELECT *, z_score * COALESCE(demand_std, 0) * sqrt(lt) AS ss,
                      sqrt(2.0 * (demand_avg * 12) * order_cost
-                          / CASE WHEN unit_cost = 0 THEN 1 ELSE unit_cost * 0.25 END) AS eoq
+                          / CASE WHEN unit_cost = 0 THEN 1 ELSE CAST(unit_cost AS DOUBLE) * 0.25 END) AS eoq
               FROM (SELECT *, CAST(lead_time_days AS DOUBLE) / 30 AS lt FROM levelled))""",
     "policy": """
         SELECT *, greatest(stock_on_hand - (reorder_point + order_quantity), 0) AS excess_units,
@@ -327,7 +327,7 @@ BODIES: dict[str, tuple[str, str]] = {
         SELECT sku, CAST(revenue AS DOUBLE) AS revenue, CAST(revenue AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share,
                CAST(running AS DOUBLE) / CAST(total AS DOUBLE) AS cumulative_share, abc FROM abc"""),
     "demand_stats": ("demand stats", """
-        SELECT sku, round(demand_avg, 6) AS demand_avg, round(demand_std, 6) AS demand_std,
+        SELECT sku, demand_avg, round(demand_std, 6) AS demand_std,
                CAST(demand_sum AS BIGINT) AS demand_sum, round(cv, 6) AS cv FROM stats"""),
     "xyz_classes": ("demand stats", """
         SELECT sku, round(cv, 6) AS cv,
@@ -344,10 +344,11 @@ BODIES: dict[str, tuple[str, str]] = {
         FROM (SELECT k.abc, COUNT(sku) AS skus, CAST(COALESCE(SUM(revenue), 0) AS DOUBLE) AS revenue
               FROM (VALUES ('A'), ('B'), ('C')) k(abc) LEFT JOIN classed USING (abc) GROUP BY 1)"""),
     "inventory_policy": ("products demand stats abc classed levelled sized policy", """
-        SELECT sku, name, category, class, round(demand_avg, 6) AS demand_avg, round(demand_std, 6) AS demand_std,
+        SELECT sku, name, category, class, demand_avg, round(demand_std, 6) AS demand_std,
                round(cv, 6) AS cv, lead_time_days, safety_stock, reorder_point, order_quantity,
-               CAST(stock_on_hand AS BIGINT) AS stock_on_hand, optimal_stock, excess_units, tied_capital,
-               deficit_units, sales_at_risk, below_reorder_point FROM policy"""),
+               CAST(stock_on_hand AS BIGINT) AS stock_on_hand, optimal_stock, excess_units,
+               CAST(tied_capital AS DOUBLE) AS tied_capital, deficit_units,
+               CAST(sales_at_risk AS DOUBLE) AS sales_at_risk, below_reorder_point FROM policy"""),
     "policy_by_service_level": ("products demand stats abc classed levelled_by_class sized policy", """
         SELECT sku, class, z_score, safety_stock, reorder_point, order_quantity, optimal_stock, excess_units,
                deficit_units FROM policy"""),
@@ -360,21 +361,20 @@ BODIES: dict[str, tuple[str, str]] = {
                      COUNT(*) FILTER (below_reorder_point) AS below_reorder_point FROM policy)"""),
     "inventory_impact": ("products demand stats abc classed levelled sized policy frequency", """
         SELECT *, round(tied_capital + sales_at_risk + order_saving + time_saving, 2) AS total
-        FROM (SELECT CAST(SUM(CAST(tied_capital AS DECIMAL(18,2))) AS DOUBLE) AS tied_capital,
-                     CAST(SUM(CAST(sales_at_risk AS DECIMAL(18,2))) AS DOUBLE) AS sales_at_risk,
+        FROM (SELECT CAST(SUM(tied_capital) AS DOUBLE) AS tied_capital,
+                     CAST(SUM(sales_at_risk) AS DOUBLE) AS sales_at_risk,
                      round(SUM(order_saving), 2) AS order_saving, CAST(270000 AS DOUBLE) AS time_saving,
                      COUNT(*) FILTER (below_reorder_point) AS skus_below_reorder_point,
                      COUNT(*) FILTER (excess_units > 0) AS skus_overstock FROM frequency)"""),
     "eoq_frequency": ("products demand stats abc classed levelled sized policy frequency", """
-        SELECT sku, CAST(12 AS BIGINT) AS orders_now, round(orders_optimal, 6) AS orders_optimal,
-               round(order_saving, 6) AS order_saving FROM frequency"""),
+        SELECT sku, CAST(12 AS BIGINT) AS orders_now, orders_optimal, order_saving FROM frequency"""),
     "eoq_saving_by_class": ("products demand stats abc classed levelled sized policy frequency", """
         SELECT class, COUNT(*) AS skus, round(avg(orders_optimal), 2) AS orders_optimal_mean,
                round(SUM(order_saving), 2) AS order_saving FROM frequency GROUP BY 1"""),
     "top_overstock": ("products demand stats abc classed levelled sized policy", """
-        SELECT sku, tied_capital FROM policy WHERE tied_capital > 0 ORDER BY tied_capital DESC, sku LIMIT 10"""),
+        SELECT sku, CAST(tied_capital AS DOUBLE) AS tied_capital FROM policy WHERE policy.tied_capital > 0 ORDER BY policy.tied_capital DESC, sku LIMIT 10"""),
     "top_stockout_risk": ("products demand stats abc classed levelled sized policy", """
-        SELECT sku, sales_at_risk FROM policy WHERE sales_at_risk > 0 ORDER BY sales_at_risk DESC, sku LIMIT 10"""),
+        SELECT sku, CAST(sales_at_risk AS DOUBLE) AS sales_at_risk FROM policy WHERE policy.sales_at_risk > 0 ORDER BY policy.sales_at_risk DESC, sku LIMIT 10"""),
     "stock_coverage": ("products demand stock_sheet covered acted", """
         SELECT product_id, category, CAST(stock AS BIGINT) AS stock, mean_monthly, cover_days, state, action
         FROM acted"""),

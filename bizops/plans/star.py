@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.functions.numeric import money, sum_where
+from bizops.functions.numeric import MONEY, sum_where
 from bizops.operators.profit import in_period
 
-COST_FACTOR = "1.5"
+COST_FACTOR_PCT = 150  # unit cost as a percentage of the retail price
 SHEET_MONTHS = ["2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01", "2001-06-01", "2001-07-01"]
 
 
@@ -33,14 +33,15 @@ class Star:
         """
         lines = self.table("lineitem")
         wanted = set(columns)
-        qty = F.col("l_quantity").cast("decimal(5,0)")
+        qty = whole("l_quantity")
+        gross = hundredths("l_extendedprice") * (100 - hundredths("l_discount"))  # in 1/10,000
         have = {
             "ticket_id": F.col("l_orderkey"),
             "product_id": F.col("l_partkey"),
             "line_number": F.col("l_linenumber"),
             "qty": qty,
-            "discount": F.col("l_discount").cast("decimal(4,2)"),
-            "revenue": _revenue(),
+            "discount": from_units(hundredths("l_discount"), 2, "decimal(4,2)"),
+            "revenue": from_units(gross, 4, MONEY),
         }
         if start or end or wanted & {"sale_date", "customer_id"}:
             orders = self.table("orders").select(
@@ -53,18 +54,17 @@ class Star:
         if wanted & {"unit_cost", "cost", "margin", "category", "list_price"}:
             parts = self.table("part").select(
                 F.col("p_partkey").alias("l_partkey"),
-                F.col("p_retailprice").cast("decimal(9,2)").alias("_retail"),
+                hundredths("p_retailprice").alias("_retail"),
                 F.col("p_type").alias("category"),
             )
             lines = lines.join(parts, "l_partkey")
-            unit_cost = F.col("_retail") * F.lit(COST_FACTOR).cast("decimal(2,1)")
-            cost = money(unit_cost * qty)
+            cost = F.col("_retail") * COST_FACTOR_PCT * qty  # in 1/10,000
             have |= {
                 "category": F.col("category"),
-                "list_price": F.col("_retail") * 2,
-                "unit_cost": unit_cost,
-                "cost": cost,
-                "margin": _revenue() - cost,
+                "list_price": from_units(F.col("_retail") * 2, 2, "decimal(10,2)"),
+                "unit_cost": from_units(F.col("_retail") * COST_FACTOR_PCT, 4, "decimal(14,4)"),
+                "cost": from_units(cost, 4, MONEY),
+                "margin": from_units(gross - cost, 4, MONEY),
             }
         if "store_id" in wanted:
             suppliers = self.table("supplier").select(
@@ -98,14 +98,14 @@ class Star:
         )
 
     def products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(10,2)")
+        price = hundredths("p_retailprice")
         key = F.col("p_partkey")
         return self.table("part").select(
             key.alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
-            price.alias("unit_price"),
-            (price * F.lit(COST_FACTOR).cast("decimal(2,1)")).alias("unit_cost"),
+            from_units(price, 2, "decimal(10,2)").alias("unit_price"),
+            from_units(price * COST_FACTOR_PCT, 4, "decimal(14,4)").alias("unit_cost"),
             (5 + key % 16).alias("lead_time_days"),
             (1500 + (key % 85) * 100).alias("order_cost"),
             (F.col("p_size") * 5).alias("stock_policy"),
@@ -123,7 +123,7 @@ class Star:
     def demand(self) -> DataFrame:
         month = F.trunc("l_shipdate", "month").alias("month_start")
         return self.table("lineitem").groupBy(F.col("l_partkey").alias("sku"), month).agg(
-            F.sum(_units()).alias("units")
+            F.sum(whole("l_quantity")).alias("units")
         )
 
     def stock_sheet(self) -> DataFrame:
@@ -131,7 +131,7 @@ class Star:
         month = F.trunc("l_shipdate", "month")
         sold = self.table("lineitem").groupBy(F.col("l_partkey").alias("product_id")).agg(
             *[
-                sum_where(month == F.lit(m).cast("date"), _units()).alias(f"_m{i}")
+                sum_where(month == F.lit(m).cast("date"), whole("l_quantity")).alias(f"_m{i}")
                 for i, m in enumerate(SHEET_MONTHS, 1)
             ],
             F.max(month).alias("last_movement"),
@@ -154,7 +154,7 @@ class Star:
             .when(kind == "click", "electrical")
             .otherwise("operational")
             .alias("cause"),
-            F.col("value").cast("decimal(12,2)").alias("minutes"),
+            from_units(hundredths("value"), 2, "decimal(12,2)").alias("minutes"),
         )
 
     def machines(self) -> DataFrame:
@@ -170,10 +170,17 @@ class Star:
         )
 
 
-def _revenue() -> Column:
-    gross = F.col("l_extendedprice").cast("decimal(12,2)")
-    return money(gross * (F.lit(1).cast("decimal(2,0)") - F.col("l_discount").cast("decimal(4,2)")))
+def hundredths(col: str) -> Column:
+    """A stored double with two decimals as whole hundredths; whole-number arithmetic stays exact
+    and avoids the far slower double-to-decimal conversion on every line."""
+    return F.rint(F.col(col) * 100).cast("bigint")
 
 
-def _units() -> Column:
-    return F.col("l_quantity").cast("decimal(10,0)")
+def whole(col: str) -> Column:
+    return F.rint(col).cast("bigint")
+
+
+def from_units(units: Column, scale: int, kind: str) -> Column:
+    """Whole units of ``10^-scale`` as an exact decimal."""
+    step = F.lit(f"0.{'1'.zfill(scale)}").cast(f"decimal({scale},{scale})")
+    return (units.cast("decimal(18,0)") * step).cast(kind)
