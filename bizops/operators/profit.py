@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
 from bizops.session import cut_lineage
 
+# The middle of two averages in cents has a third decimal, so the gap to it is exact at three.
+GAP_DECIMALS = 3
+
 
 def discounted_price(lines: DataFrame) -> DataFrame:
     """Unit price after discount, rounded to cents."""
@@ -36,11 +39,20 @@ def negative_margin_lines(sales: DataFrame) -> DataFrame:
 
 
 def in_period(df: DataFrame, col: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Half-open date slice ``[start, end)``; plain comparisons, so the filter reaches the scan."""
+    """Half-open date slice ``[start, end)``; plain comparisons, so the filter reaches the scan.
+
+    A table stored by month (a ``sale_month`` column, ``yyyy-MM``) is sliced by month as well, so
+    folders outside the period are never listed for reading.
+    """
+    by_month = "sale_month" in df.columns
     if start:
         df = df.where(F.col(col) >= F.lit(start).cast("date"))
+        if by_month:
+            df = df.where(F.col("sale_month") >= start[:7])
     if end:
         df = df.where(F.col(col) < F.lit(end).cast("date"))
+        if by_month:
+            df = df.where(F.col("sale_month") <= end[:7])
     return df
 
 
@@ -191,24 +203,26 @@ def churned_customer_list(
 ) -> DataFrame:
     """The lost customers with their details, most valuable first.
 
-    Null ids are dropped on both sides of the anti join, so one null cannot empty the list.
+    "In the base set and not in the following one" is read off the per-customer flags: one pass
+    over the fact instead of an anti join of the fact with itself, and null ids cannot interfere.
     """
-    known = sales.where(F.col("customer_id").isNotNull())
-    before = in_period(known, "sale_date", *base)
-    after = in_period(known, "sale_date", *following).select("customer_id")
-    lost = (
-        before.groupBy("customer_id").agg(F.round(F.sum("margin"), 2).alias("margin_base"))
-        .join(after, "customer_id", "left_anti")
+    lost = customer_activity(sales, base, following).where(F.col("in_base") & ~F.col("in_following"))
+    return (
+        lost.select("customer_id", F.round("margin_base", 2).alias("margin_base"))
+        .join(customers, "customer_id", "left")
+        .orderBy(F.desc("margin_base"), "customer_id")
     )
-    return lost.join(customers, "customer_id", "left").orderBy(F.desc("margin_base"), "customer_id")
 
 
 def retained_customers(sales: DataFrame, base: tuple[str, str], following: tuple[str, str]) -> DataFrame:
-    """Base-period margin of the customers that came back (semi join)."""
-    before = in_period(sales, "sale_date", *base)
-    after = in_period(sales, "sale_date", *following).select("customer_id")
-    sums = before.groupBy("customer_id").agg(F.round(F.sum("margin"), 2).alias("margin_base"))
-    return sums.join(after, "customer_id", "left_semi")
+    """Base-period margin of the customers that came back."""
+    kept = customer_activity(sales, base, following).where(F.col("in_base") & F.col("in_following"))
+    return kept.select("customer_id", F.round("margin_base", 2).alias("margin_base"))
+
+
+def sales_of_members(sales: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """The sale lines of the given keys (semi join; each line once, whatever the list repeats)."""
+    return sales.join(members.select(key), key, "left_semi")
 
 
 def _store_sums(sales: DataFrame, *keys: str) -> DataFrame:
@@ -266,7 +280,7 @@ def store_gap(sales: DataFrame, stores: DataFrame, months: int, capture: float =
         "tickets",
         "avg_ticket",
         median.alias("median_ticket"),
-        F.round(F.col("avg_ticket") - median, 2).alias("gap"),
+        F.round(F.col("avg_ticket") - median, GAP_DECIMALS).alias("gap"),
         percent(F.col("avg_ticket") - median, median).alias("gap_pct"),
         F.round(gain, 2).alias("gain"),
         F.round(gain * 12 / months, 2).alias("gain_per_year"),
@@ -286,6 +300,6 @@ def store_gap_trend(sales: DataFrame) -> DataFrame:
         "store_id",
         "avg_ticket",
         "median_ticket",
-        F.round(gap, 2).alias("gap"),
+        F.round(gap, GAP_DECIMALS).alias("gap"),
         percent(gap, "median_ticket").alias("gap_pct"),
     ).orderBy("month", "store_id")

@@ -68,20 +68,22 @@ def control_totals(sales: DataFrame, derived: DataFrame) -> DataFrame:
     )
 
 
-def date_range_check(
-    sales: DataFrame, start: str, end: str, dims: dict[str, tuple[DataFrame, str]]
-) -> DataFrame:
-    """Sale lines dated outside ``[start, end)``, and per dimension the members without any sale."""
+def dates_out_of_range(sales: DataFrame, start: str, end: str) -> DataFrame:
+    """Sale lines dated outside ``[start, end)`` or undated."""
     date = F.col("sale_date")
     outside = (date < F.lit(start).cast("date")) | (date >= F.lit(end).cast("date")) | date.isNull()
-    checks = [
-        sales.agg(count_where(outside).alias("rows")).select(F.lit("dates_out_of_range").alias("check"), "rows")
-    ]
-    for name, (dim, key) in dims.items():
-        sold = sales.select(key).distinct()
-        unused = dim.join(sold, key, "left_anti").agg(F.count(F.lit(1)).alias("rows"))
-        checks.append(unused.select(F.lit(f"{name}_without_sales").alias("check"), "rows"))
-    return reduce(DataFrame.unionByName, checks)
+    return sales.agg(count_where(outside).alias("rows"))
+
+
+def unused_members(dim: DataFrame, sales: DataFrame, key: str) -> DataFrame:
+    """Dimension members without a single sale; only the key column of ``sales`` is read."""
+    return dim.join(sales.select(key).distinct(), key, "left_anti").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def check_report(checks: dict[str, DataFrame]) -> DataFrame:
+    """Several one-row checks as one table."""
+    rows = [df.select(F.lit(name).alias("check"), "rows") for name, df in checks.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def detection_score(found: DataFrame, truth: DataFrame, key: str, flag: str) -> DataFrame:

@@ -130,6 +130,17 @@ def store_ticket(s: Star):
     )
 
 
+@query("segment string, lines bigint, revenue double")
+def sales_of_members(s: Star):
+    """Revenue of the customers of one region, by segment."""
+    members = s.customers().where(F.col("region") == "EUROPE")
+    lines = profit.sales_of_members(s.sales("customer_id", "revenue"), members, "customer_id")
+    per_customer = lines.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_l"), F.sum("revenue").alias("_r"))
+    return per_customer.join(members, "customer_id").groupBy("segment").agg(
+        F.sum("_l").alias("lines"), F.sum("_r").alias("revenue")
+    )
+
+
 def _months(s: Star):
     return kpi.months_covered(s.sales("sale_date")).scalar()
 
@@ -554,10 +565,11 @@ def control_totals(s: Star):
 
 @query("check string, rows bigint")
 def date_range_check(s: Star):
-    sales = s.sales("sale_date", "customer_id", "product_id", "store_id")
-    dims = {
-        "customers": (s.customers(), "customer_id"),
-        "products": (s.products(), "product_id"),
-        "stores": (s.stores(), "store_id"),
-    }
-    return quality.date_range_check(sales, *(BASE[0], NEXT[1]), dims)
+    return quality.check_report(
+        {
+            "dates_out_of_range": quality.dates_out_of_range(s.sales("sale_date"), BASE[0], NEXT[1]),
+            "customers_without_sales": quality.unused_members(s.customers(), s.sales("customer_id"), "customer_id"),
+            "products_without_sales": quality.unused_members(s.products(), s.sales("product_id"), "product_id"),
+            "stores_without_sales": quality.unused_members(s.stores(), s.sales("store_id"), "store_id"),
+        }
+    )

@@ -95,7 +95,7 @@ VIEWS = {
         FROM store_sums""",
     "gaps": """
         SELECT store_id, store_name, tickets, avg_ticket, med AS median_ticket,
-               round(avg_ticket - med, 2) AS gap, round(100.0 * (avg_ticket - med) / med, 1) AS gap_pct,
+               round(avg_ticket - med, 3) AS gap, round(100.0 * (avg_ticket - med) / med, 1) AS gap_pct,
                round(greatest(med - avg_ticket, 0) * tickets * share * 0.5, 2) AS gain,
                round(greatest(med - avg_ticket, 0) * tickets * share * 0.5 * 12 / months, 2) AS gain_per_year
         FROM store_sums JOIN stores USING (store_id), network""",
@@ -267,6 +267,9 @@ BODIES: dict[str, tuple[str, str]] = {
     "retained_customers": ("sales activity", """
         SELECT customer_id, CAST(round(margin_base, 2) AS DOUBLE) AS margin_base
         FROM activity WHERE in_base AND in_next"""),
+    "sales_of_members": ("sales customers", """
+        SELECT segment, COUNT(*) AS lines, CAST(SUM(revenue) AS DOUBLE) AS revenue
+        FROM sales JOIN customers USING (customer_id) WHERE region = 'EUROPE' GROUP BY 1"""),
     "store_ticket": ("sales stores store_sums", """
         SELECT CAST(store_id AS BIGINT) AS store_id, store_name, region, customers, tickets,
                CAST(round(revenue, 0) AS DOUBLE) AS revenue, CAST(round(margin, 0) AS DOUBLE) AS margin, avg_ticket
@@ -275,7 +278,7 @@ BODIES: dict[str, tuple[str, str]] = {
         "SELECT * REPLACE (CAST(store_id AS BIGINT) AS store_id) FROM gaps"),
     "store_gap_trend": ("sales", """
         SELECT month, CAST(store_id AS BIGINT) AS store_id, avg_ticket, med AS median_ticket,
-               round(avg_ticket - med, 2) AS gap, round(100.0 * (avg_ticket - med) / med, 1) AS gap_pct
+               round(avg_ticket - med, 3) AS gap, round(100.0 * (avg_ticket - med) / med, 1) AS gap_pct
         FROM (SELECT *, median(avg_ticket) OVER (PARTITION BY month) AS med
               FROM (SELECT CAST(date_trunc('month', sale_date) AS DATE) AS month, store_id,
                            round(CAST(SUM(revenue) AS DOUBLE) / COUNT(DISTINCT ticket_id), 2) AS avg_ticket

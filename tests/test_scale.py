@@ -1,0 +1,108 @@
+"""Plans that must hold at scale: pushdown, pruning, no single task, no unchecked broadcast, skew."""
+
+import pathlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from bizops.operators import coverage, kpi, profit, quality
+from bizops.plans.star import Star
+from bizops.session import ADAPTIVE, tune, use_checkpoint_dir
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_period_reaches_the_scan_and_columns_are_pruned(spark, capsys):
+    entry.queries()["customer_churn"](spark, FOLDER).explain("formatted")
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(o_orderdate,1999-01-01" in text and "LessThan(o_orderdate,2001-01-01" in text
+    assert "o_totalprice" not in text and "l_shipdate" not in text
+
+
+def test_a_source_is_joined_only_when_needed(spark):
+    star = Star(spark, FOLDER)
+    assert "Join" not in plan(star.sales("product_id", "qty", "revenue"))
+    assert plan(star.sales("sale_date")).count("Join") == 1
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(entry.queries()[name](spark, FOLDER))
+    assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text), text
+
+
+def test_big_inputs_are_shuffled_not_broadcast(spark, conf):
+    """Without small-size statistics no fact join may broadcast."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    star = Star(spark, FOLDER)
+    for df in (
+        kpi.sales_enriched(
+            star.sales("ticket_id", "product_id", "customer_id", "store_id", "sale_date", "revenue", "margin"),
+            star.customers(), star.stores(), star.products()),
+        coverage.stock_coverage(star.stock_sheet()),
+        quality.orphan_keys(star.table("lineitem"), star.table("orders"), "l_orderkey", "o_orderkey"),
+    ):
+        assert "BroadcastHashJoin" not in plan(df)
+
+
+def test_skewed_join_key_is_split(spark, conf):
+    """A third of all lines share one product; its join partition is split at run time."""
+    tune(spark)
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB",
+        spark__sql__shuffle__partitions="16",
+    )
+    lines = spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("ticket_id"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).cast("bigint").alias("product_id"),
+        F.col("id").cast("decimal(16,4)").alias("revenue"),
+        (F.col("id") * 2).cast("decimal(16,4)").alias("margin"),
+    )
+    products = spark.range(500).select(F.col("id").alias("product_id"), F.concat(F.lit("c"), F.col("id") % 7).alias("category"))
+    df = kpi.kpis_by(lines.join(products, "product_id"), "category")
+    text = final_plan(df)
+    assert "skew=true" in text
+    assert sum(r["tickets"] for r in df.collect()) == 60000
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """The per-product sum must have a partial step below its exchange."""
+    star = Star(spark, FOLDER)
+    text = plan(profit.negative_margin_products(star.sales("product_id", "qty", "discount", "revenue"), star.products()))
+    assert "partial_sum" in text
+    # names are joined after the sum, so the fact itself takes part in no join
+    assert text.index("Join") < text.index("partial_sum")
+
+
+def test_lineage_is_cut_in_the_configured_folder(spark):
+    folder = use_checkpoint_dir(spark)
+    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") in folder
+
+
+def test_tune_sets_the_session(spark):
+    tune(spark)
+    assert {k: spark.conf.get(k) for k in ADAPTIVE} == ADAPTIVE
+
+
+def test_sources_avoid_local_lineage_cuts_and_collecting():
+    root = pathlib.Path(entry.__file__).parent / "bizops"
+    for path in root.rglob("*.py"):
+        text = path.read_text(encoding="utf-8")
+        assert not re.search(r"localCheckpoint|\.collect\(|toPandas|crossJoin|\.rdd\b", text), path
