@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from bizops.functions import rules
 from bizops.operators import abcxyz, coverage, downtime, impact, kpi, profit, quality, rfm
 from bizops.plans.star import SHEET_MONTHS, Star
-from bizops.session import cut_lineage, tune
+from bizops.session import cut_lineage, scratch_path, size_shuffles, tune, written_table
+from bizops.sources import publish
 from bizops.sources.load import clean_extract
 
 BASE, NEXT = ("1999-01-01", "2000-01-01"), ("2000-01-01", "2001-01-01")
@@ -32,7 +34,9 @@ def query(schema: str):
 
     def register(build: Callable[[Star], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            df = build(Star(tune(spark), folder))
+            star = Star(tune(spark), folder)
+            size_shuffles(star.table("lineitem"))
+            df = build(star)
             return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
 
         QUERIES[build.__name__] = run
@@ -573,3 +577,68 @@ def date_range_check(s: Star):
             "stores_without_sales": quality.unused_members(s.stores(), s.sales("store_id"), "store_id"),
         }
     )
+
+
+# ---------------------------------------------------------------- publishing and reading back
+
+
+@query("sale_month string, lines bigint, revenue double")
+def saved_star_slice(s: Star):
+    """Persist the priced fact by month, then read one year back from its folders alone."""
+    path = scratch_path(s.spark, "star")
+    publish.save_star({"sales": s.sales("ticket_id", "sale_date", "revenue"), "stores": s.stores()}, path)
+    year = profit.in_period(publish.read_star(s.spark, path, ["sales"])["sales"], "sale_date", *BASE)
+    return year.groupBy("sale_month").agg(F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
+
+
+@query("period string, cause string, events bigint, hours double")
+def monthly_snapshot(s: Star):
+    """Freeze two monthly reports below one folder and read both back."""
+    path = scratch_path(s.spark, "snapshot")
+    for as_of in ("2024-01-20", "2024-02-20"):
+        report = downtime.monthly_stoppages(s.stoppages(), "cause")
+        publish.snapshot(report.where(F.col("month") <= publish.previous_month(as_of)), path, as_of)
+    return s.spark.read.parquet(path)
+
+
+@query("table string, skus bigint, tied_capital double, revenue double")
+def published_inventory(s: Star):
+    """Write the classification and policy tables and summarise what was written."""
+    path = scratch_path(s.spark, "inventory")
+    publish.publish_inventory(_policy(s), path, "parquet")
+    classes, policy = (s.spark.read.parquet(f"{path}/{t}") for t in ("classification", "policy"))
+    none = F.lit(None).cast("double")
+    return classes.agg(
+        F.lit("classification").alias("table"), F.count("sku").alias("skus"),
+        none.alias("tied_capital"), F.sum("revenue_total").cast("double").alias("revenue"),
+    ).unionByName(
+        policy.agg(
+            F.lit("policy").alias("table"), F.count("sku").alias("skus"),
+            F.sum("tied_capital").cast("double").alias("tied_capital"), none.alias("revenue"),
+        )
+    )
+
+
+@query("report string, rows bigint")
+def published_report(s: Star):
+    """Write the five report tables in one go and count the rows of each."""
+    path = scratch_path(s.spark, "report")
+    sales = written_table(
+        s.sales("store_id", "category", "sale_date", "ticket_id", "customer_id", "revenue", "margin"), "sales"
+    )
+    scores = cut_lineage(rfm.rfm_scores(sales))
+    tables = {
+        "monthly": kpi.monthly_kpis(sales),
+        "by_store": kpi.kpis_by(sales.join(s.stores(), "store_id"), "store_name"),
+        "by_category": kpi.kpis_by(sales, "category"),
+        "segments": rfm.rfm_segment_summary(scores),
+        "customers": rfm.best_first(scores),
+    }
+    publish.publish_report(tables, path)
+    counts = [
+        s.spark.read.parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("report"), "rows"
+        )
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, counts)

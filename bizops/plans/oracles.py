@@ -520,6 +520,23 @@ BODIES: dict[str, tuple[str, str]] = {
           WHERE product_id NOT IN (SELECT product_id FROM sales)
         UNION ALL SELECT 'stores_without_sales', COUNT(*) FROM stores
           WHERE store_id NOT IN (SELECT store_id FROM sales)"""),
+    "saved_star_slice": ("sales", """
+        SELECT strftime(sale_date, '%Y-%m') AS sale_month, COUNT(*) AS lines, CAST(SUM(revenue) AS DOUBLE) AS revenue
+        FROM sales WHERE sale_date >= DATE '1999-01-01' AND sale_date < DATE '2000-01-01' GROUP BY 1"""),
+    "monthly_snapshot": ("stoppages", """
+        SELECT period, cause, COUNT(*) AS events, CAST(SUM(minutes) AS DOUBLE) / 60 AS hours
+        FROM stoppages, (VALUES ('2023-12'), ('2024-01')) k(period)
+        WHERE strftime(stop_date, '%Y-%m') <= period GROUP BY strftime(stop_date, '%Y-%m'), 1, 2"""),
+    "published_inventory": ("products demand stats abc classed levelled sized policy", """
+        SELECT 'classification' AS "table", COUNT(*) AS skus, CAST(NULL AS DOUBLE) AS tied_capital,
+               CAST(SUM(revenue) AS DOUBLE) AS revenue FROM policy
+        UNION ALL SELECT 'policy', COUNT(*), CAST(SUM(tied_capital) AS DOUBLE), NULL FROM policy"""),
+    "published_report": ("sales stores rfm_ranked rfm_bins rfm", """
+        SELECT 'monthly' AS report, COUNT(DISTINCT strftime(sale_date, '%Y-%m')) AS "rows" FROM sales
+        UNION ALL SELECT 'by_store', COUNT(DISTINCT store_name) FROM sales JOIN stores USING (store_id)
+        UNION ALL SELECT 'by_category', COUNT(DISTINCT category) FROM sales
+        UNION ALL SELECT 'segments', COUNT(DISTINCT segment) FROM rfm
+        UNION ALL SELECT 'customers', COUNT(*) FROM rfm"""),
 }
 
 LINES = """

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bizops.functions.numeric import MONEY, sum_where
 from bizops.operators.profit import in_period
@@ -15,6 +16,8 @@ from bizops.operators.profit import in_period
 COST_FACTOR_PCT = 150  # unit cost as a percentage of the retail price
 SHEET_MONTHS = ["2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01", "2001-06-01", "2001-07-01"]
 
+_SCHEMAS: dict[str, StructType] = {}
+
 
 class Star:
     """Lazily built views over the Parquet tables of one folder."""
@@ -23,7 +26,13 @@ class Star:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One Parquet table; its footers are read for the schema only once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def sales(self, *columns: str, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sale lines with just ``columns``; a source table is joined only if one of them needs it.

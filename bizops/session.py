@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffles are planned for tasks of about this many input bytes; adaptive execution then merges
+# the ones that turn out small.
+BYTES_PER_SHUFFLE_TASK = 256 * 1024**2
+MAX_SHUFFLE_TASKS = 40_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_tasks(input_bytes: int, default: int) -> int:
+    """Number of shuffle partitions to start from for an input of this size."""
+    return max(default, min(MAX_SHUFFLE_TASKS, math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK)))
+
+
+def size_shuffles(df: DataFrame) -> int:
+    """Start the session's shuffles with enough partitions for ``df``, the largest input.
+
+    Only ever raises the number above ``spark.sql.shuffle.partitions``, and leaves a number the
+    session already sets alone.
+    """
+    spark = df.sparkSession
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get(INITIAL_PARTITIONS, None):
+        return int(spark.conf.get(INITIAL_PARTITIONS))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = shuffle_tasks(size, default)
+    if tasks > default:
+        spark.conf.set(INITIAL_PARTITIONS, str(tasks))
+    return tasks
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, taking it from the session's ``spark.checkpoint.dir``.
 
@@ -49,3 +80,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{use_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    For line-level tables with several readers: columnar, so each reader scans only its columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

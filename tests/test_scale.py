@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from bizops.operators import coverage, kpi, profit, quality
 from bizops.plans.star import Star
-from bizops.session import ADAPTIVE, tune, use_checkpoint_dir
+from bizops.session import (
+    ADAPTIVE, INITIAL_PARTITIONS, shuffle_tasks, size_shuffles, tune, use_checkpoint_dir, written_table,
+)
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -106,3 +108,23 @@ def test_sources_avoid_local_lineage_cuts_and_collecting():
     for path in root.rglob("*.py"):
         text = path.read_text(encoding="utf-8")
         assert not re.search(r"localCheckpoint|\.collect\(|toPandas|crossJoin|\.rdd\b", text), path
+
+
+def test_shuffles_start_from_the_size_of_the_input(spark, conf):
+    assert shuffle_tasks(10 * 1024**2, 200) == 200
+    assert shuffle_tasks(10 * 1024**4, 200) == 40_000
+    assert shuffle_tasks(1024**4, 200) == 4096
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    assert size_shuffles(Star(spark, FOLDER).table("lineitem")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+def test_written_table_is_read_by_column(spark):
+    df = written_table(spark.range(10).select("id", F.lit("x").alias("y")))
+    assert df.count() == 10 and "ReadSchema: struct<y:string>" in plan(df.select("y"))
+
+
+def test_whole_tables_not_samples():
+    root = pathlib.Path(entry.__file__).parent / "bizops"
+    for path in root.rglob("*.py"):
+        assert not re.search(r"\.sample\(|TABLESAMPLE|\.head\(|\.take\(", path.read_text(encoding="utf-8")), path
