@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- Fixed values: labels and texts that the published reports use. -------------------------
@@ -42,6 +42,12 @@ MACHINE_NONE = "Sin intervención prioritaria"
 # --------------------------------------------------------------------------------------------
 
 
+def value_rows(spark: SparkSession, column: str, values: list) -> DataFrame:
+    """A fixed list of values as rows, with their position in ``_order``."""
+    listed = F.array(*[F.lit(v) for v in values])
+    return spark.range(1).select(F.posexplode(listed).alias("_order", column))
+
+
 def lookup(col: Column, table: dict, default=None) -> Column:
     """Map values through a small fixed table; unknown values give ``default``."""
     pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])

@@ -138,7 +138,7 @@ def abc_xyz_matrix(classed: DataFrame) -> DataFrame:
 
 def abc_share(classed: DataFrame) -> DataFrame:
     """Share of products against share of revenue per class; empty classes stay."""
-    classes = classed.sparkSession.createDataFrame([("A",), ("B",), ("C",)], "abc string")
+    classes = rules.value_rows(classed.sparkSession, "abc", ["A", "B", "C"])
     sums = classed.groupBy("abc").agg(
         F.count(F.lit(1)).alias("_skus"), F.sum("revenue_total").alias("_revenue")
     )

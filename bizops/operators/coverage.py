@@ -72,9 +72,7 @@ def coverage_abc(
 
 def coverage_state_counts(covered: DataFrame) -> DataFrame:
     """Products and capital per state; states without products stay, at zero."""
-    states = covered.sparkSession.createDataFrame(
-        [(s, i) for i, s in enumerate(rules.COVERAGE_STATES)], "state string, _order int"
-    )
+    states = rules.value_rows(covered.sparkSession, "state", rules.COVERAGE_STATES)
     sums = covered.groupBy("state").agg(
         F.count(F.lit(1)).alias("_products"), F.sum("capital").alias("_capital")
     )

@@ -71,7 +71,7 @@ VIEWS = {
     "negative": """
         SELECT product_id, SUM(qty) AS units, round(SUM(revenue), 2) AS revenue,
                round(SUM(margin), 2) AS margin,
-               round(CAST(SUM(discount) AS DOUBLE) / COUNT(*), 3) AS avg_discount
+               ((CAST(SUM(discount) * 100 AS BIGINT) * 20 + COUNT(*)) // (2 * COUNT(*))) / CAST(1000 AS DOUBLE) AS avg_discount
         FROM sales GROUP BY 1 HAVING round(SUM(margin), 2) < 0""",
     "rhythm": """
         SELECT product_id, SUM(qty) AS units_total,

@@ -12,10 +12,12 @@ from pyspark.sql.types import StructType
 
 from bizops.functions.numeric import MONEY, sum_where
 from bizops.operators.profit import in_period
+from bizops.session import spread_small
 
 COST_FACTOR_PCT = 150  # unit cost as a percentage of the retail price
 SHEET_MONTHS = ["2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01", "2001-06-01", "2001-07-01"]
 
+FACTS = {"lineitem": "l_orderkey", "events": "event_id"}
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -29,10 +31,9 @@ class Star:
         """One Parquet table; its footers are read for the schema only once per process."""
         path = f"{self.folder}/{name}.parquet"
         if path not in _SCHEMAS:
-            df = self.spark.read.parquet(path)
-            _SCHEMAS[path] = df.schema
-            return df
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return spread_small(df, FACTS[name]) if name in FACTS else df
 
     def sales(self, *columns: str, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sale lines with just ``columns``; a source table is joined only if one of them needs it.

@@ -29,6 +29,7 @@ def tune(spark: SparkSession) -> SparkSession:
 # the ones that turn out small.
 BYTES_PER_SHUFFLE_TASK = 256 * 1024**2
 MAX_SHUFFLE_TASKS = 40_000
+SMALL_TABLE_BYTES = 128 * 1024**2
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -37,6 +38,22 @@ def shuffle_tasks(input_bytes: int, default: int) -> int:
     return max(default, min(MAX_SHUFFLE_TASKS, math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK)))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a table's size; for files, their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table too small to fill the cores over all of them.
+
+    A file of one row group is read by one task, and everything up to the first exchange would stay
+    in it.  Tables larger than one scan task (128 MB) are returned as they are.
+    """
+    if input_bytes(df) > SMALL_TABLE_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def size_shuffles(df: DataFrame) -> int:
     """Start the session's shuffles with enough partitions for ``df``, the largest input.
 
@@ -47,8 +64,7 @@ def size_shuffles(df: DataFrame) -> int:
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get(INITIAL_PARTITIONS, None):
         return int(spark.conf.get(INITIAL_PARTITIONS))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    tasks = shuffle_tasks(size, default)
+    tasks = shuffle_tasks(input_bytes(df), default)
     if tasks > default:
         spark.conf.set(INITIAL_PARTITIONS, str(tasks))
     return tasks

@@ -62,7 +62,7 @@ def stores(spark):
 def test_negative_margin_products(sales, products):
     rows = profit.negative_margin_products(sales, products).collect()
     assert [(r["product_id"], r["units"], r["margin"], r["recoverable"], r["avg_discount"]) for r in rows] == [
-        ("P2", 5, D("-5.00"), D("5.00"), 0.15)
+        ("P2", 5, D("-5.00"), D("5.00"), D("0.150"))
     ]
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bizops import session
 from bizops.operators import coverage, kpi, profit, quality
 from bizops.plans.star import Star
 from bizops.session import (
@@ -119,6 +120,13 @@ def test_shuffles_start_from_the_size_of_the_input(spark, conf):
     assert spark.conf.get(INITIAL_PARTITIONS, None) == before
 
 
+def test_only_small_tables_are_spread(spark, monkeypatch):
+    df = spark.range(10)
+    assert "REPARTITION_BY_NUM" in plan(session.spread_small(df, "id"))
+    monkeypatch.setattr(session, "SMALL_TABLE_BYTES", 1)
+    assert session.spread_small(df, "id") is df
+
+
 def test_written_table_is_read_by_column(spark):
     df = written_table(spark.range(10).select("id", F.lit("x").alias("y")))
     assert df.count() == 10 and "ReadSchema: struct<y:string>" in plan(df.select("y"))
