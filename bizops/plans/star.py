@@ -26,14 +26,17 @@ class Star:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One Parquet table; its footers are read for the schema only once per process."""
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
-        return spread_small(df, FACTS[name]) if name in FACTS else df
+        """One Parquet table; its files are listed once per query, its schema read once per process."""
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+            self._tables[name] = spread_small(df, FACTS[name]) if name in FACTS else df
+        return self._tables[name]
 
     def sales(self, *columns: str, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sale lines with just ``columns``; a source table is joined only if one of them needs it.
