@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import simhash
-from bizops.llm.scratch import Scratch
+from bizops.llm import language, mixing, quality, simhash
+from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,6 +20,7 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -31,3 +32,24 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return scratch.finish(
         found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     )
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document; narrow decisions are marked, not rejected."""
+    docs = table(spark, folder, "documents")
+    return language.predict(docs, language.fit(docs), reject=False)
+
+
+@query
+def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    scratch = Scratch(spark, "mix")
+    return scratch.finish(mixing.mix(table(spark, folder, "documents"), scratch))

@@ -7,13 +7,41 @@ when its results are complete, and closing removes the folder.
 
 from __future__ import annotations
 
+import io
+import pathlib
 import uuid
+import zipfile
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+import bizops
 from bizops.session import use_checkpoint_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per application, send this package's source to the executors' Python.
+
+    Needed where the package is not installed on the executors; harmless where it is.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = pathlib.Path(bizops.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, f"{root.name}/{file.relative_to(root)}")
+    folder, name = use_checkpoint_dir(spark).rstrip("/"), f"{root.name}-{uuid.uuid4().hex}.zip"
+    fs, path = storage(folder)
+    fs.create_dir(path, recursive=True)
+    with fs.open_output_stream(f"{path}/{name}") as out:
+        out.write(packed.getvalue())
+    sc.addPyFile(f"{folder}/{name}")
+    _SHIPPED.add(sc.applicationId)
+
 
 def storage(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path behind a folder name, on the driver or an executor."""
@@ -43,6 +71,7 @@ class Scratch:
     """A folder of one run, removed by ``close``; usable as a context manager."""
 
     def __init__(self, spark: SparkSession, name: str = "llm"):
+        ship_package(spark)
         self.spark = spark
         self.root = f"{use_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._tables = 0
