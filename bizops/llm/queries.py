@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import language, mixing, quality, simhash
+from bizops.llm import language, mixing, quality, simhash, tokenfile, tokens
 from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +54,22 @@ def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
     scratch = Scratch(spark, "mix")
     return scratch.finish(mixing.mix(table(spark, folder, "documents"), scratch))
+
+
+@query
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    scratch = Scratch(spark, "tokens")
+    counted = tokens.token_counts(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), scratch
+    )
+    return scratch.finish(counted.withColumn("over_limit", F.col("n_tokens") > 512))
+
+
+@query
+def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's token ids, written to shards and read back through the key index."""
+    scratch = Scratch(spark, "token-file")
+    return scratch.finish(tokenfile.encode_and_read(
+        spark, table(spark, folder, "documents"), scratch, public_tokenizers.path("word_bpe_49k.json")
+    ))

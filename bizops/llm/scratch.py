@@ -79,11 +79,13 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str = "table", codec: str = "zstd") -> DataFrame:
-        """Write ``df`` as Parquet and read it back: later readers start from the files."""
+    def table(self, df: DataFrame, name: str = "table", by: str | None = None, codec: str = "zstd") -> DataFrame:
+        """Write ``df`` as Parquet, in folders by the column ``by`` if given, and read it back:
+        later readers start from the files."""
         self._tables += 1
         path = self.path(f"{name}-{self._tables}")
-        df.write.option("compression", codec).parquet(path)
+        writer = df.write.option("compression", codec)
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
