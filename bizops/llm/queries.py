@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import language, mixing, quality, simhash, tokenfile, tokens
+from bizops.llm import decontaminate, language, mixing, quality, simhash, tokenfile, tokens
 from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,14 @@ def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return scratch.finish(tokenfile.encode_and_read(
         spark, table(spark, folder, "documents"), scratch, public_tokenizers.path("word_bpe_49k.json")
     ))
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    scratch = Scratch(spark, "decontaminate")
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch)
+    return scratch.finish(found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    ))
