@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import decontaminate, language, mixing, quality, simhash, tokenfile, tokens
+from bizops.llm import decontaminate, language, mixing, quality, simhash, tokenfile, tokens, warc
 from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,13 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
     ))
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, written to archives and read back from them."""
+    scratch = Scratch(spark, "warc")
+    archives = scratch.path("archives")
+    index = warc.write_archives(table(spark, folder, "pages"), archives, scratch)
+    found = warc.read_records(index, archives, with_payload=False)
+    return scratch.finish(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
