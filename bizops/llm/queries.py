@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import decontaminate, language, mixing, quality, simhash, tokenfile, tokens, warc
+from bizops.llm import decontaminate, language, maxscore, mixing, quality, secretscan, simhash, tokenfile, tokens, warc
 from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,24 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     index = warc.write_archives(table(spark, folder, "pages"), archives, scratch)
     found = warc.read_records(index, archives, with_payload=False)
     return scratch.finish(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@query
+def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    scratch = Scratch(spark, "top-k")
+    vectors = table(spark, folder, "embeddings")
+    return scratch.finish(maxscore.top_k(vectors, vectors.where(maxscore.divisible("vec_id", 100)), scratch))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    scratch = Scratch(spark, "secrets")
+    found = secretscan.scan(table(spark, folder, "documents"), scratch)
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint")
+    listed = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return scratch.finish(found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
+    ))
