@@ -18,17 +18,23 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
-def even_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label, the same on every run, found without sorting.
+def label_sizes(rows: DataFrame, label: str) -> dict:
+    """Number of rows of each label; one entry per label comes to the driver."""
+    return {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    A row is kept if the hash of its key falls under its label's share, so one filter does it,
-    however many rows a label has.  The binomial spread keeps the total under
-    ``labels x (per_label + a few standard deviations)``.  One small aggregate comes first.
+
+def even_sample(rows: DataFrame, label: str, key: str, per_label: int, sizes: dict) -> DataFrame:
+    """About ``per_label`` rows of each label, the same on every run, by one filter.
+
+    A row is kept if the hash of its key falls under its label's share, so nothing is sorted or
+    shuffled, however many rows a label has.  The binomial spread keeps the total under
+    ``labels x (per_label + a few standard deviations)``.
     """
-    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.lit(float(per_label)) / F.col("_n")
+    if not sizes:
+        return rows.where(F.lit(False))
+    shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, per_label / n)])
     place = F.pmod(F.xxhash64(F.lit("even_sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(sizes, label).where(place < share).drop("_n")
+    return rows.where(place < F.element_at(shares, F.col(label)))
 
 
 def dictionary(samples: Sequence[bytes], size: int, level: int, trained: bool) -> bytes:

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.llm.compression import compressor, dictionary, even_sample, held_out, map_texts
+from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts
 
 UNKNOWN = "und"
 NARROW = 0.01
@@ -73,10 +73,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     known = docs.where(~held_out(id_col)).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text")
     )
-    rows = even_sample(known, "_lang", "_id", per_language).select(
+    counts = label_sizes(known, "_lang")
+    rows = even_sample(known, "_lang", "_id", per_language, counts).select(
         "_lang", F.substring("_text", 1, excerpt).alias("t"), F.xxhash64("_id", "_text").alias("h")
     ).collect()
-    counts = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     texts = {name: [] for name in sorted(counts, key=lambda x: (-counts[x], x))}
     for r in sorted(rows, key=lambda r: r["h"]):
         texts[r["_lang"]].append(reduced(r["t"]))

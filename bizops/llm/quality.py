@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.llm.compression import compressor, dictionary, even_sample, held_out, map_texts
+from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts
 
 THRESHOLD = 0.3
 
@@ -81,8 +81,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     known = labels.where(F.col(label).isin(0, 1)).where(~held_out(id_col)).select(
         F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")
     ).distinct()
-    totals = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = even_sample(known, "_y", "_id", per_label)  # bounded by per_label, so it may be broadcast
+    totals = label_sizes(known, "_y")
+    chosen = even_sample(known, "_y", "_id", per_label, totals)  # bounded by per_label, so it may be broadcast
     rows = (
         docs.select(F.col(id_col).alias("_id"), F.substring(text, 1, excerpt).alias("_text"))
         .join(F.broadcast(chosen), "_id")
