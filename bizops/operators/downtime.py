@@ -16,7 +16,7 @@ from bizops.functions import rules
 from bizops.functions.numeric import dbl, ratio, sum_where
 from bizops.operators.ordered import with_order
 
-UNPLANNED = "unplanned"
+UNPLANNED, PLANNED = "unplanned", "planned"
 
 
 def hours(minutes: Column | str) -> Column:
@@ -27,6 +27,17 @@ def unplanned(stoppages: DataFrame, label: str = UNPLANNED) -> DataFrame:
     return stoppages.where(F.col("stop_type") == label)
 
 
+def with_rates(machines: DataFrame, rates: DataFrame, key: str = "machine_name") -> DataFrame:
+    """Machines with their performance and quality rate; null where the rate table has none.
+
+    The lowest rates count where a machine is listed twice.
+    """
+    once = rates.groupBy(key).agg(F.min(F.struct("performance", "quality")).alias("_rate"))
+    return machines.join(once, key, "left").select(
+        *[machines[c] for c in machines.columns], F.col("_rate.performance").alias("performance"), F.col("_rate.quality").alias("quality")
+    )
+
+
 def next_service(machines: DataFrame, as_of: str) -> DataFrame:
     """Next service date and the days left to it."""
     due = F.date_add("last_service", F.col("service_interval_days").cast("int"))

@@ -22,12 +22,10 @@ def sales_enriched(
     otherwise shuffles and splits hot keys at run time.
     """
     places = stores.select("store_id", "store_name", F.col("region").alias("region_store"))
-    return (
-        sales.join(customers, "customer_id", "left")
-        .join(places, "store_id", "left")
-        .join(products.select("product_id", "category"), "product_id", "left")
-        .withColumn("period", period())
-    )
+    named = sales.join(customers, "customer_id", "left").join(places, "store_id", "left")
+    if "category" not in sales.columns:  # lines that were priced from their product already have it
+        named = named.join(products.select("product_id", "category"), "product_id", "left")
+    return named.withColumn("period", period())
 
 
 def months_covered(sales: DataFrame) -> DataFrame:
@@ -40,9 +38,13 @@ def monthly_kpis(sales: DataFrame, pct_decimals: int = 1) -> DataFrame:
 
     ``pct_decimals=0`` rounds the percentages a second time, to whole numbers.
     """
-    per_month = sales.groupBy(F.trunc("sale_date", "month").alias("_month")).agg(
-        F.sum("revenue").alias("_revenue"),
-        F.sum("margin").alias("_margin"),
+    # The lines are summed by ticket first; the two distinct counts then expand tickets, not lines.
+    tickets = sales.groupBy(F.trunc("sale_date", "month").alias("_month"), "ticket_id", "customer_id").agg(
+        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
+    )
+    per_month = tickets.groupBy("_month").agg(
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_margin").alias("_margin"),
         F.count_distinct("ticket_id").alias("tickets"),
         F.count_distinct("customer_id").alias("customers"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
+from bizops.operators.ordered import percentiles
 from bizops.session import cut_lineage
 
 # The middle of two averages in cents has a third decimal, so the gap to it is exact at three.
@@ -57,17 +58,35 @@ def in_period(df: DataFrame, col: str, start: str | None = None, end: str | None
 
 
 def profile(sales: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """One row of control totals: table sizes, date range, revenue, margin, margin %."""
+    """One row of control totals: table sizes, date range, revenue, margin, margin %.
+
+    Lines without a margin are summed by product and priced after that, from its unit cost; those
+    of an unknown product then have no margin.
+    """
 
     def size(df: DataFrame):
         return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
-    totals = sales.agg(
-        F.count(F.lit(1)).alias("sale_lines"),
-        F.min("sale_date").alias("first_date"),
-        F.max("sale_date").alias("last_date"),
+    first = [
+        F.count(F.lit(1)).alias("_lines"),
+        F.min("sale_date").alias("_first"),
+        F.max("sale_date").alias("_last"),
         F.sum("revenue").alias("_revenue"),
-        F.sum("margin").alias("_margin"),
+    ]
+    if "margin" in sales.columns:
+        sums = sales.agg(*first, F.sum("margin").alias("_margin"))
+    else:
+        per_product = sales.groupBy("product_id").agg(*first, F.sum("qty").alias("_units"))
+        costs = products.select("product_id", "unit_cost")
+        sums = per_product.join(costs, "product_id", "left").withColumn(
+            "_margin", F.col("_revenue") - F.col("_units") * F.col("unit_cost")
+        )
+    totals = sums.agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("sale_lines"),
+        F.min("_first").alias("first_date"),
+        F.max("_last").alias("last_date"),
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_margin").alias("_margin"),
     )
     return totals.select(
         "sale_lines",
@@ -92,6 +111,18 @@ def margin_pct(sales: DataFrame, dim: str) -> DataFrame:
     )
 
 
+def product_months(sales: DataFrame) -> DataFrame:
+    """Lines summed by product and month, for the product operators: units, revenue, discounts.
+
+    ``sale_date`` is the first of the month, so only whole months can be told apart.
+    """
+    month = F.trunc("sale_date", "month").cast("date").alias("sale_date")
+    return sales.groupBy("product_id", month).agg(
+        F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"),
+        F.sum("discount").alias("discount"), F.count("discount").alias("discounted_lines"),
+    )
+
+
 def _by_product(sales: DataFrame, products: DataFrame, *aggs) -> DataFrame:
     """Per-product sums joined to the product, with ``_margin`` filled in.
 
@@ -110,9 +141,8 @@ def _by_product(sales: DataFrame, products: DataFrame, *aggs) -> DataFrame:
 
 def negative_margin_products(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Products whose total margin is negative and what fixing them would recover."""
-    totals = _by_product(
-        sales, products, F.sum("discount").alias("_discount"), F.count("discount").alias("_lines")
-    )
+    lines = F.sum("discounted_lines") if "discounted_lines" in sales.columns else F.count("discount")
+    totals = _by_product(sales, products, F.sum("discount").alias("_discount"), lines.alias("_lines"))
     return (
         totals.select(
             "product_id",
@@ -236,11 +266,15 @@ def _store_sums(sales: DataFrame, *keys: str) -> DataFrame:
 
 def store_ticket(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Customers, tickets, revenue, margin and average ticket per store, weakest first."""
-    sums = sales.groupBy("store_id").agg(
+    # The lines are summed by ticket first; the two distinct counts then expand tickets, not lines.
+    tickets = sales.groupBy("store_id", "ticket_id", "customer_id").agg(
+        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
+    )
+    sums = tickets.groupBy("store_id").agg(
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("ticket_id").alias("tickets"),
-        F.sum("revenue").alias("_revenue"),
-        F.sum("margin").alias("_margin"),
+        F.sum("_revenue").alias("_revenue"),
+        F.sum("_margin").alias("_margin"),
     )
     return (
         sums.join(stores, "store_id")
@@ -264,17 +298,12 @@ def store_gap(sales: DataFrame, stores: DataFrame, months: int, capture: float =
     ``gain`` covers the whole period of ``sales`` (``months`` long), ``gain_per_year`` a year of it.
     """
     per_store = cut_lineage(_store_sums(sales, "store_id"))
-    # One value per store: the median's state is as small as the list of stores.
-    network = per_store.agg(
-        F.struct(
-            F.median("avg_ticket").alias("median"),
-            ratio(F.sum("_margin"), F.sum("_revenue")).alias("margin_share"),
-        ).alias("network")
-    )
-    placed = per_store.join(stores, "store_id").withColumn("_net", network.scalar())
-    median = F.col("_net.median")
+    middle = percentiles(per_store, "avg_ticket", {"median": 0.5})
+    share = per_store.agg(ratio(F.sum("_margin"), F.sum("_revenue")).alias("share"))
+    placed = per_store.join(stores, "store_id").withColumns({"_median": middle.scalar(), "_share": share.scalar()})
+    median = F.col("_median")
     shortfall = F.greatest(median - F.col("avg_ticket"), F.lit(0.0))
-    gain = shortfall * F.col("tickets") * F.col("_net.margin_share") * capture
+    gain = shortfall * F.col("tickets") * F.col("_share") * capture
     return placed.select(
         "store_id",
         "store_name",

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.functions.numeric import count_where, ratio
+from bizops.functions.numeric import count_where, ratio, sum_where
+from bizops.session import cut_lineage
+
+
+def key_counts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(kind, key, rows): how many rows hold each value of each key column, in one pass.
+
+    Keys become text.  The counts are summed on the map side, so a hot key is one row per task by
+    the time it is shuffled.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in keys]))
+    return fact.select(each.alias("_k")).groupBy("_k.kind", "_k.key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def orphan_rows(counted: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows behind the counted keys that are missing from ``known`` (null keys included)."""
+    there = known.select(F.col("key").cast("string").alias("key")).distinct()
+    missing = counted.select("key", "rows").join(there, "key", "left_anti")
+    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"))
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
     """Fact rows whose key is missing from the dimension (null keys included).
 
-    Keys are counted before the anti join, so a hot key is one row by then.
+    Both sides are reduced to distinct keys before the anti join, so a hot key is one row by then.
     """
-    keys = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    known = dim.select(F.col(dim_key or fact_key).alias("_key"))
-    missing = keys.join(known, "_key", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_rows"))
+    return orphan_rows(key_counts(fact, [fact_key]), dim.select(F.col(dim_key or fact_key).alias("key")))
 
 
 def quality_report(
@@ -30,49 +46,55 @@ def quality_report(
 ) -> DataFrame:
     """Failing rows per rule: null ids, repeated rows, unknown customers, revenue that does not add up.
 
-    The tolerance is ``atol`` plus ``rtol`` of the stored revenue.
+    The tolerance is ``atol`` plus ``rtol`` of the stored revenue.  The fact is read once: equal
+    rows are counted, and the counts are kept per customer.
     """
     off = F.abs(F.round(F.col("unit_price") * F.col("qty"), 2) - F.col("revenue"))
     allowed = F.lit(atol) + F.lit(rtol) * F.abs("revenue")
-    row_rules = sales.agg(
-        count_where(F.col(id_col).isNull()).alias("null_ids"),
-        count_where(off > allowed).alias("revenue_mismatch"),
-    ).unpivot([], ["null_ids", "revenue_mismatch"], "rule", "failing_rows")
-    repeats = sales.groupBy(*sales.columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    duplicates = repeats.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("failing_rows"))
-    orphans = orphan_keys(sales, customers, "customer_id").withColumnRenamed("orphan_rows", "failing_rows")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            row_rules,
-            duplicates.withColumn("rule", F.lit("duplicate_rows")),
-            orphans.withColumn("rule", F.lit("orphan_customers")),
-        ],
-    ).select("rule", "failing_rows")
-
-
-def control_totals(sales: DataFrame, derived: DataFrame) -> DataFrame:
-    """Reconcile a derived table (lines, revenue, margin columns) with the fact it came from."""
-    base = sales.agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin")
+    counted = sales.groupBy(*sales.columns).agg(F.count(F.lit(1)).alias("_n"))
+    per_customer = cut_lineage(counted.groupBy("customer_id").agg(
+        sum_where(F.col(id_col).isNull(), "_n").alias("null_ids"),
+        sum_where(off > allowed, "_n").alias("revenue_mismatch"),
+        F.sum(F.col("_n") - 1).alias("duplicate_rows"),
+        F.sum("_n").alias("_rows"),
+    ))
+    rules = ["null_ids", "revenue_mismatch", "duplicate_rows"]
+    found = per_customer.agg(*[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in rules])
+    orphans = per_customer.join(customers.select("customer_id").distinct(), "customer_id", "left_anti").agg(
+        F.lit("orphan_customers").alias("rule"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("failing_rows")
     )
+    return found.unpivot([], rules, "rule", "failing_rows").unionByName(orphans)
+
+
+def rolled_totals(sales: DataFrame, dim: str) -> tuple[DataFrame, DataFrame]:
+    """Lines, revenue and margin of the whole fact and of every ``dim``, from one pass over it."""
+    rolled = cut_lineage(sales.rollup(dim).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"),
+        F.grouping(dim).alias("_all"),
+    ))
+    return rolled.where("_all = 1").drop("_all", dim), rolled.where("_all = 0").drop("_all")
+
+
+def control_totals(totals: DataFrame, derived: DataFrame) -> DataFrame:
+    """Reconcile a derived table with the totals of the fact it came from; both have the columns
+    lines, revenue and margin and are summed."""
     names = ["lines", "revenue", "margin"]
 
     def long(df: DataFrame, value: str) -> DataFrame:
-        wide = df.select(*[F.col(c).cast("decimal(38,4)").alias(c) for c in names])
-        return wide.unpivot([], names, "total", value)
+        sums = df.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,4)").alias(c) for c in names])
+        return sums.unpivot([], names, "total", value)
 
-    sums = derived.agg(*[F.sum(c).alias(c) for c in names])
-    return long(base, "expected").join(long(sums, "actual"), "total").withColumn(
+    return long(totals, "expected").join(long(derived, "actual"), "total").withColumn(
         "difference", F.col("actual") - F.col("expected")
     )
 
 
-def dates_out_of_range(sales: DataFrame, start: str, end: str) -> DataFrame:
-    """Sale lines dated outside ``[start, end)`` or undated."""
+def dates_out_of_range(sales: DataFrame, start: str, end: str, rows: str | None = None) -> DataFrame:
+    """Sale lines dated outside ``[start, end)`` or undated; ``rows`` names a column of line counts
+    if ``sales`` is already counted by date."""
     date = F.col("sale_date")
     outside = (date < F.lit(start).cast("date")) | (date >= F.lit(end).cast("date")) | date.isNull()
-    return sales.agg(count_where(outside).alias("rows"))
+    return sales.agg((sum_where(outside, rows) if rows else count_where(outside)).alias("rows"))
 
 
 def unused_members(dim: DataFrame, sales: DataFrame, key: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.functions import rules
 from bizops.functions.numeric import dbl, ratio
 from bizops.operators.ordered import with_order
+from bizops.session import cut_lineage
 
 # Fixed values of the impact estimate.
 MANUAL_HOURS_PER_MONTH = 5
@@ -30,21 +33,25 @@ def rfm_base(sales: DataFrame) -> DataFrame:
 def rfm_scores(sales: DataFrame) -> DataFrame:
     """Quintile scores and segment of every customer.
 
-    Equal values are ranked by customer id.  The recency rank needs no reference date (latest
-    purchase first), so the date is read from the already reduced, checkpointed customers.
+    Equal values are ranked by customer id.  The customers are made once; for each measure only
+    (value, customer) is sorted, of which no more is kept than the last pair of every quintile.
+    Those few pairs, as one row, then place all customers in one projection.
     """
-    scored = rfm_base(sales)
-    steps = [
-        ("r", [F.desc("last_date"), "customer_id"]),
-        ("f", ["frequency", "customer_id"]),
-        ("m", ["monetary", "customer_id"]),
-    ]
-    for score, order in steps:
-        ranked = with_order(scored, order)
+    base = cut_lineage(rfm_base(sales))
+    measures = {"r": -F.unix_date("last_date"), "f": F.col("frequency"), "m": F.col("monetary")}
+    place = lambda measure: F.struct(measure.alias("v"), F.col("customer_id"))
+    scored = base
+    for score, measure in measures.items():
+        ranked = with_order(base.select(measure.alias("v"), "customer_id"), ["v", "customer_id"])
         bin_ = rules.quintile(F.col("rank"), F.col("total_rows"))
-        scored = ranked.withColumn(score, 6 - bin_ if score == "r" else bin_).drop("rank", "total_rows")
-
-    reference = F.date_add(scored.agg(F.max("last_date").alias("d")).scalar(), 1)
+        last = [F.max(F.when(bin_ <= k, F.struct("v", "customer_id"))).alias(f"q{k}") for k in range(1, 5)]
+        scored = scored.withColumn(f"_{score}", ranked.agg(F.struct(*last).alias("edges")).scalar())
+    for score, measure in measures.items():
+        above = [(place(measure) > F.col(f"_{score}.q{k}")).cast("int") for k in range(1, 5)]
+        bin_ = F.lit(1) + reduce(Column.__add__, above)
+        scored = scored.withColumn(score, (6 - bin_ if score == "r" else bin_).cast("int"))
+
+    reference = F.date_add(base.agg(F.max("last_date").alias("d")).scalar(), 1)
     return scored.select(
         "customer_id",
         F.datediff(reference, F.col("last_date")).alias("recency"),

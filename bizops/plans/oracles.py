@@ -192,6 +192,10 @@ LEVEL_BY_CLASS = """SELECT *, CAST(CASE class WHEN 'AX' THEN 2.054 WHEN 'CZ' THE
                     AS DOUBLE) AS z_score FROM classed"""
 
 
+def _even(total: str) -> str:
+    return f"round_even(CAST({total} AS DOUBLE), 0)"
+
+
 def _pareto(key: str) -> str:
     return f"""
         SELECT {key}, row_number() OVER (ORDER BY minutes DESC, {key}) AS rank,
@@ -416,11 +420,14 @@ BODIES: dict[str, tuple[str, str]] = {
                state AS alert, product_id, category, cover_days, CAST(stock AS BIGINT) AS stock, capital, action
         FROM acted WHERE state <> 'NORMAL'"""),
     "state_from_label": ("products demand stock_sheet covered", """
-        SELECT product_id, '* ' || lower(category) || ' - ' || state || ' !' AS label, state FROM covered"""),
+        SELECT product_id, CASE product_id % 5 WHEN 0 THEN lower(category) WHEN 1 THEN 'NORMAL / ' || named ELSE named END AS label,
+               CASE WHEN product_id % 5 = 0 THEN NULL
+                    WHEN product_id % 5 = 1 AND state IN ('SOBRESTOCK', 'STOCK MUERTO') THEN 'NORMAL' ELSE state END AS state
+        FROM (SELECT product_id, category, state, '* ' || lower(category) || ' - ' || state || ' !' AS named FROM covered)"""),
     "clean_extract_parts": ("", """
-        SELECT p_partkey AS product_id, p_type AS category,
-               CASE WHEN p_partkey % 7 <> 0 THEN p_retailprice END AS price, CAST(p_size AS DOUBLE) AS size
-        FROM part WHERE p_partkey % 11 <> 0 AND p_type IN ('ECONOMY', 'STANDARD', 'PROMO')"""),
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category,
+               CASE WHEN p_size <= 40 THEN p_retailprice END AS price, CAST(p_size AS DOUBLE) AS size
+        FROM part WHERE p_size % 10 <> 3 AND p_type IN ('ECONOMY', 'STANDARD', 'PROMO')"""),
     "next_service": ("machines", """
         SELECT machine_id, last_service, last_service + CAST(service_interval_days AS INT) AS next_service,
                date_diff('day', DATE '2024-02-01', last_service + CAST(service_interval_days AS INT)) AS days_left
@@ -501,16 +508,19 @@ BODIES: dict[str, tuple[str, str]] = {
     "quality_report": ("lines", """
         SELECT 'null_ids' AS rule, COUNT(*) FILTER (ticket_id IS NULL) AS failing_rows FROM lines
         UNION ALL SELECT 'revenue_mismatch', COUNT(*) FILTER (
-            CAST(abs(unit_price * qty - revenue) AS DOUBLE) > CAST(0.01 AS DOUBLE) + CAST(0.001 AS DOUBLE) * CAST(revenue AS DOUBLE))
+            CAST(abs(unit_price * qty - revenue) AS DOUBLE) > CAST(0.01 AS DOUBLE) + CAST(0.00001 AS DOUBLE) * CAST(revenue AS DOUBLE))
           FROM lines
         UNION ALL SELECT 'duplicate_rows', (SELECT COUNT(*) FROM lines) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lines))
-        UNION ALL SELECT 'orphan_customers', COUNT(*) FROM lines WHERE customer_id NOT IN
-          (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')"""),
+        UNION ALL SELECT 'orphan_customers', COUNT(*) FROM lines WHERE customer_id NOT IN (SELECT c_custkey FROM customer)"""),
     "control_totals": ("sales", """
-        SELECT total, expected, expected AS actual, CAST(0 AS DOUBLE) AS difference
-        FROM (SELECT 'lines' AS total, CAST(COUNT(*) AS DOUBLE) AS expected FROM sales
-              UNION ALL SELECT 'revenue', CAST(SUM(revenue) AS DOUBLE) FROM sales
-              UNION ALL SELECT 'margin', CAST(SUM(margin) AS DOUBLE) FROM sales)"""),
+        SELECT total, e.expected, a.actual, a.actual - e.expected AS difference FROM (
+            SELECT 'lines' AS total, CAST(COUNT(*) AS DOUBLE) AS expected FROM lineitem
+            UNION ALL SELECT 'revenue', CAST(SUM(revenue) AS DOUBLE) FROM sales
+            UNION ALL SELECT 'margin', CAST(SUM(margin) AS DOUBLE) FROM sales) e
+        JOIN (UNPIVOT (
+            SELECT CAST(SUM(n) AS DOUBLE) AS lines, CAST(SUM(r) AS DOUBLE) AS revenue, CAST(SUM(m) AS DOUBLE) AS margin
+            FROM (SELECT store_id, COUNT(*) AS n, SUM(revenue) AS r, SUM(margin) AS m FROM sales GROUP BY 1))
+            ON lines, revenue, margin INTO NAME total VALUE actual) a USING (total)"""),
     "date_range_check": ("sales customers stores products", """
         SELECT 'dates_out_of_range' AS "check", COUNT(*) FILTER (
             sale_date < DATE '1999-01-01' OR sale_date >= DATE '2001-01-01' OR sale_date IS NULL) AS "rows" FROM sales
@@ -525,24 +535,30 @@ BODIES: dict[str, tuple[str, str]] = {
         FROM sales WHERE sale_date >= DATE '1999-01-01' AND sale_date < DATE '2000-01-01' GROUP BY 1"""),
     "monthly_snapshot": ("stoppages", """
         SELECT period, cause, COUNT(*) AS events, CAST(SUM(minutes) AS DOUBLE) / 60 AS hours
-        FROM stoppages, (VALUES ('2023-12'), ('2024-01')) k(period)
+        FROM stoppages, (VALUES ('2024-01'), ('2024-02')) k(period)
         WHERE strftime(stop_date, '%Y-%m') <= period GROUP BY strftime(stop_date, '%Y-%m'), 1, 2"""),
     "published_inventory": ("products demand stats abc classed levelled sized policy", """
-        SELECT 'classification' AS "table", COUNT(*) AS skus, CAST(NULL AS DOUBLE) AS tied_capital,
-               CAST(SUM(revenue) AS DOUBLE) AS revenue FROM policy
-        UNION ALL SELECT 'policy', COUNT(*), CAST(SUM(tied_capital) AS DOUBLE), NULL FROM policy"""),
-    "published_report": ("sales stores rfm_ranked rfm_bins rfm", """
-        SELECT 'monthly' AS report, COUNT(DISTINCT strftime(sale_date, '%Y-%m')) AS "rows" FROM sales
-        UNION ALL SELECT 'by_store', COUNT(DISTINCT store_name) FROM sales JOIN stores USING (store_id)
-        UNION ALL SELECT 'by_category', COUNT(DISTINCT category) FROM sales
-        UNION ALL SELECT 'segments', COUNT(DISTINCT segment) FROM rfm
-        UNION ALL SELECT 'customers', COUNT(*) FROM rfm"""),
+        SELECT 'classification' AS "table", sku, class, CAST(revenue AS DOUBLE) AS revenue,
+               CAST(NULL AS BIGINT) AS order_quantity, CAST(NULL AS DOUBLE) AS tied_capital, CAST(NULL AS DOUBLE) AS sales_at_risk
+        FROM policy
+        UNION ALL SELECT 'policy', sku, class, NULL, CAST(order_quantity AS BIGINT), CAST(tied_capital AS DOUBLE),
+               CAST(sales_at_risk AS DOUBLE) FROM policy"""),
+    "published_report": ("sales stores rfm_ranked rfm_bins rfm", f"""
+        SELECT 'monthly' AS report, period AS entry, COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT ticket_id) AS tickets,
+               {_even('SUM(revenue)')} AS revenue, {_even('SUM(margin)')} AS margin
+          FROM (SELECT *, strftime(sale_date, '%Y-%m') AS period FROM sales) GROUP BY period
+        UNION ALL SELECT 'by_store', store_name, NULL, COUNT(DISTINCT ticket_id), {_even('SUM(revenue)')}, {_even('SUM(margin)')}
+          FROM sales JOIN stores USING (store_id) GROUP BY store_name
+        UNION ALL SELECT 'by_category', category, NULL, COUNT(DISTINCT ticket_id), {_even('SUM(revenue)')}, {_even('SUM(margin)')}
+          FROM sales GROUP BY category
+        UNION ALL SELECT 'segments', segment, COUNT(*), NULL, NULL, {_even('SUM(margin)')} FROM rfm GROUP BY segment
+        UNION ALL SELECT 'customers', CAST(customer_id AS VARCHAR), NULL, frequency, CAST(monetary AS DOUBLE), CAST(margin AS DOUBLE) FROM rfm"""),
 }
 
 LINES = """
-        SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS ticket_id, o_custkey AS customer_id,
+        SELECT l_orderkey AS ticket_id, l_linenumber AS line_number, o_custkey AS customer_id,
                CAST(l_quantity AS DECIMAL(5,0)) AS qty,
-               CAST(floor(l_extendedprice / l_quantity) AS DECIMAL(12,2)) AS unit_price,
+               CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS DECIMAL(14,0)) * 0.01 AS DECIMAL(12,2)) AS unit_price,
                CAST(l_extendedprice AS DECIMAL(14,2)) AS revenue
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 

@@ -8,18 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from bizops.functions.numeric import MONEY, sum_where
 from bizops.operators.profit import in_period
-from bizops.session import spread_small
+from bizops.session import cut_lineage
 
 COST_FACTOR_PCT = 150  # unit cost as a percentage of the retail price
 SHEET_MONTHS = ["2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01", "2001-06-01", "2001-07-01"]
 
-FACTS = {"lineitem": "l_orderkey", "events": "event_id"}
-_SCHEMAS: dict[str, StructType] = {}
-
 
 class Star:
     """Lazily built views over the Parquet tables of one folder."""
@@ -29,13 +25,9 @@ class Star:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One Parquet table; its files are listed once per query, its schema read once per process."""
+        """One Parquet table, listed once per query."""
         if name not in self._tables:
-            path = f"{self.folder}/{name}.parquet"
-            if path not in _SCHEMAS:
-                _SCHEMAS[path] = self.spark.read.parquet(path).schema
-            df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
-            self._tables[name] = spread_small(df, FACTS[name]) if name in FACTS else df
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     def sales(self, *columns: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -87,6 +79,13 @@ class Star:
             have["store_id"] = F.col("store_id")
         return lines.select(*[have[c].alias(c) for c in columns])
 
+    def dates_of_sales(self) -> DataFrame:
+        """The dates of the orders that have lines; of the lines only the order keys are read."""
+        sold = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        return self.table("orders").join(sold, "o_orderkey", "left_semi").select(
+            F.col("o_orderdate").cast("date").alias("sale_date")
+        )
+
     def _nations(self) -> DataFrame:
         return self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -171,16 +170,19 @@ class Star:
         )
 
     def machines(self) -> DataFrame:
-        uid = F.col("machine_id")
-        ids = self.table("events").select(F.col("user_id").alias("machine_id")).distinct()
-        return ids.select(
-            "machine_id",
-            (9800 + (uid % 48) * 100).alias("hourly_cost"),
-            F.date_add(F.lit("2023-06-01").cast("date"), (uid % 300).cast("int")).alias("last_service"),
-            (120 + 30 * (uid % 3)).alias("service_interval_days"),
-            ((79 + uid % 16) / F.lit(100.0)).alias("performance"),
-            ((95 + uid % 5) / F.lit(100.0)).alias("quality"),
-        )
+        """One row per machine; derived from the event log once for all readers of a query."""
+        if "machines" not in self._tables:
+            uid = F.col("machine_id")
+            ids = self.table("events").select(F.col("user_id").alias("machine_id")).distinct()
+            self._tables["machines"] = cut_lineage(ids.select(
+                "machine_id",
+                (9800 + (uid % 48) * 100).alias("hourly_cost"),
+                F.date_add(F.lit("2023-06-01").cast("date"), (uid % 300).cast("int")).alias("last_service"),
+                (120 + 30 * (uid % 3)).alias("service_interval_days"),
+                ((79 + uid % 16) / F.lit(100.0)).alias("performance"),
+                ((95 + uid % 5) / F.lit(100.0)).alias("quality"),
+            ))
+        return self._tables["machines"]
 
 
 def hundredths(col: str) -> Column:

@@ -1,11 +1,11 @@
-"""Session settings and lineage cuts shared by all operators."""
+"""Session settings, lineage cuts and scratch tables shared by all operators."""
 
 from __future__ import annotations
 
-import math
-import tempfile
+import atexit
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time re-planning.  forceOptimizeSkewedJoin lets Spark split a hot join key even when the next
@@ -16,65 +16,38 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+LOCAL_SCRATCH = "/tmp/bizops-scratch"
 
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Switch on adaptive execution and skew splitting for this session."""
-    for key, value in ADAPTIVE.items():
-        spark.conf.set(key, value)
-    return spark
-
-
-# Shuffles are planned for tasks of about this many input bytes; adaptive execution then merges
-# the ones that turn out small.
-BYTES_PER_SHUFFLE_TASK = 256 * 1024**2
-MAX_SHUFFLE_TASKS = 40_000
-SMALL_TABLE_BYTES = 128 * 1024**2
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SCRATCH: dict[str, str] = {}  # application id -> its scratch folder
 
 
-def shuffle_tasks(input_bytes: int, default: int) -> int:
-    """Number of shuffle partitions to start from for an input of this size."""
-    return max(default, min(MAX_SHUFFLE_TASKS, math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK)))
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Switch on adaptive execution and skew splitting for this session.
 
-
-def input_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a table's size; for files, their size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table too small to fill the cores over all of them.
-
-    A file of one row group is read by one task, and everything up to the first exchange would stay
-    in it.  Tables larger than one scan task (128 MB) are returned as they are.
+    ``shuffle_partitions`` is the number that shuffles start from before adaptive execution merges
+    the small ones; without it the session's own setting stays.
     """
-    if input_bytes(df) > SMALL_TABLE_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return spark
 
-def size_shuffles(df: DataFrame) -> int:
-    """Start the session's shuffles with enough partitions for ``df``, the largest input.
 
-    Only ever raises the number above ``spark.sql.shuffle.partitions``, and leaves a number the
-    session already sets alone.
-    """
-    spark = df.sparkSession
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.conf.get(INITIAL_PARTITIONS, None):
-        return int(spark.conf.get(INITIAL_PARTITIONS))
-    tasks = shuffle_tasks(input_bytes(df), default)
-    if tasks > default:
-        spark.conf.set(INITIAL_PARTITIONS, str(tasks))
-    return tasks
+def storage(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path behind a folder name, on the driver or an executor."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" in uri:
+        return pafs.FileSystem.from_uri(uri)
+    return pafs.LocalFileSystem(), uri
 
 
 def use_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, taking it from the session's ``spark.checkpoint.dir``.
+    """The folder that ``spark.checkpoint.dir`` names, which the driver and all executors share.
 
-    Only a local master, where driver and executors share one disk, may fall back to a new
-    temporary folder; on a cluster a missing setting is an error.
+    Only a local master, where they share one disk, may do without the setting; on a cluster a
+    missing one is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,30 +57,53 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="bizops-checkpoint-")
+        folder = LOCAL_SCRATCH
     sc.setCheckpointDir(folder)
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise an already reduced table reliably, so several branches can read it.
+def scratch_folder(spark: SparkSession) -> str:
+    """The application's own scratch folder below the shared one.
 
-    The blocks live in the shared checkpoint folder, so losing executors loses nothing.
+    It belongs to the application: ``clear_scratch`` removes it once the results that were made
+    from it have been read, and at the latest it goes when the driver's Python ends.
     """
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{use_checkpoint_dir(spark).rstrip('/')}/bizops-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, app)
+    return _SCRATCH[app]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything that queries of this application have left in scratch so far."""
+    _remove(spark.sparkContext.applicationId)
+
+
+def _remove(app: str) -> None:
+    folder = _SCRATCH.pop(app, None)
+    if folder:
+        fs, path = storage(folder)
+        if fs.get_file_info(path).type == pafs.FileType.Directory:
+            fs.delete_dir(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder."""
-    return f"{use_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's scratch folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written_table(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
+    """Write ``df`` as Parquet in scratch and read it back.
 
-    For line-level tables with several readers: columnar, so each reader scans only its columns.
+    Several branches can then read it, each only its columns; the files lie in the shared folder,
+    so losing executors loses nothing.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise an already reduced table reliably, so several branches can read it."""
+    return written_table(df, "cut")

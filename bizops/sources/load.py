@@ -1,13 +1,17 @@
-"""Readers: explicit schemas for CSV, the file's own for Parquet."""
+"""Readers: columns by name, typed by the table's schema."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.sources.schemas import INVENTORY, PLANT, STAR, Table
+from bizops.operators.downtime import PLANNED, UNPLANNED, with_rates
+from bizops.sources.schemas import INVENTORY, MACHINE_RATES, PLANT, STAR, UNPLANNED_LABEL, Table
+
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def load_tables(
@@ -15,17 +19,20 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Read ``<folder>/<table>.<fmt>`` for each table, typed and under the operators' names.
 
-    CSV files have a header line and may start with a byte-order mark.
+    Columns are found by their names, in any order; further ones are ignored and a missing one is
+    an error.  CSV files have a header line and may start with a byte-order mark; cells that are
+    not of their column's type become null.
     """
     return {name: _read(spark, f"{folder}/{name}.{fmt}", table, fmt) for name, table in tables.items()}
 
 
 def _read(spark: SparkSession, path: str, table: Table, fmt: str) -> DataFrame:
     if fmt == "csv":
-        raw = spark.read.csv(path, schema=table.ddl, header=True, encoding="UTF-8", enforceSchema=True)
+        raw = spark.read.csv(path, header=True, encoding="UTF-8", inferSchema=False)
+        raw = raw.toDF(*[c.removeprefix(BYTE_ORDER_MARK) for c in raw.columns])
     else:
         raw = spark.read.format(fmt).load(path)
-    return table.rename(raw)
+    return table.rename(raw, path)
 
 
 def load_star(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -46,16 +53,50 @@ def load_inventory(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[s
     return {"products": t["productos"], "demand": demand, "stock": t["inventario_actual"]}
 
 
-def load_plant(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """machines and stoppages; stoppage hours become exact minutes."""
+def load_plant(spark: SparkSession, folder: str, fmt: str = "csv", rates: DataFrame | None = None) -> dict[str, DataFrame]:
+    """machines and stoppages, ready for the downtime operators.
+
+    Stoppage hours become exact minutes and the file's stop types the operators' labels.  Machines
+    get their performance and quality rates from ``rates`` (machine_name, performance, quality),
+    by default the published ones.
+    """
     t = load_tables(spark, folder, PLANT, fmt)
-    stoppages = t["registro_paros"].withColumn("minutes", (F.col("hours") * 60).cast("decimal(12,2)"))
-    return {"machines": t["equipos"], "stoppages": stoppages}
+    kind = F.when(F.col("stop_type") == UNPLANNED_LABEL, UNPLANNED).when(F.col("stop_type").isNotNull(), PLANNED)
+    stoppages = t["registro_paros"].withColumn("minutes", (F.col("hours") * 60).cast("decimal(12,2)")).withColumn("stop_type", kind)
+    return {"machines": with_rates(t["equipos"], published_rates(spark) if rates is None else rates), "stoppages": stoppages}
+
+
+def published_rates(spark: SparkSession) -> DataFrame:
+    """The published performance and quality rates by machine name."""
+    listed = F.array(*[F.struct(F.lit(n).alias("machine_name"), F.lit(p).alias("performance"), F.lit(q).alias("quality"))
+                       for n, (p, q) in MACHINE_RATES.items()])
+    return spark.range(1).select(F.inline(listed))
+
+
+def read_sheet(spark: SparkSession, path: str, header_row: int = 1, columns: int | None = None) -> DataFrame:
+    """A sheet's CSV export as text columns named by line ``header_row`` of the file.
+
+    The lines above the header are skipped.  Every file below ``path`` is one export with the same
+    lines on top, read whole by one task (a sheet holds about a million rows at most); cells
+    without line breaks are assumed.  ``columns`` gives the number of cells to take (default: all
+    of the header); cells without a name become ``col<n>``.
+    """
+    files = spark.read.text(path, wholetext=True).where(F.length("value") > 0)
+    lines = files.select(F.split(F.ltrim(F.col("value"), F.lit(BYTE_ORDER_MARK)), "\r?\n").alias("lines"))
+    first = lines.select(F.get("lines", F.lit(header_row - 1)).alias("head")).first()
+    if first is None or not first["head"]:
+        raise ValueError(f"{path} has no header in line {header_row}")
+    cells = next(csv.reader([first["head"]]))
+    names = [c.strip() or f"col{i}" for i, c in enumerate(cells, 1)][:columns]
+    rows = lines.select(F.explode(F.slice("lines", header_row + 1, F.size("lines"))).alias("line"))
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return rows.where("line <> ''").select(F.from_csv("line", schema).alias("row")).select("row.*")
 
 
 def clean_extract(
     df: DataFrame, key: str, category: str, valid: Sequence[str], numeric: Iterable[str]
 ) -> DataFrame:
-    """Clean a sheet export: rows with a key and a known category; bad numbers become null."""
-    kept = df.where(F.col(key).isNotNull() & F.col(category).isin(list(valid)))
+    """Clean a sheet export: rows with a key that is not blank and a known category; bad numbers
+    become null."""
+    kept = df.where((F.trim(F.col(key).cast("string")) != "") & F.col(category).isin(list(valid)))
     return kept.withColumns({c: F.col(c).try_cast("double") for c in numeric})

@@ -44,13 +44,8 @@ def snapshot(df: DataFrame, path: str, as_of: str) -> str:
     Only that month's folder is replaced; other months stay.  Returns the month.
     """
     month = previous_month(as_of)
-    (
-        df.withColumn("period", F.lit(month))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period")
-        .parquet(path)
-    )
+    # The month's own folder is overwritten, so a report without rows leaves an empty month.
+    df.write.mode("overwrite").parquet(f"{path}/period={month}")
     return month
 
 

@@ -14,14 +14,12 @@ class Table:
 
     columns: dict[str, tuple[str, str]]
 
-    @property
-    def ddl(self) -> str:
-        return ", ".join(f"`{c}` {t}" for c, (_, t) in self.columns.items())
-
-    def rename(self, df: DataFrame) -> DataFrame:
-        """Select the known columns that are present, under the operators' names and types."""
-        present = [(c, n, t) for c, (n, t) in self.columns.items() if c in df.columns]
-        return df.select(*[F.col(c).cast(t).alias(n) for c, n, t in present])
+    def rename(self, df: DataFrame, where: str = "the table") -> DataFrame:
+        """The known columns, found by name, under the operators' names and types."""
+        missing = [c for c in self.columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"{where} lacks the columns {', '.join(missing)}")
+        return df.select(*[F.col(c).try_cast(t).alias(n) for c, (n, t) in self.columns.items()])
 
 
 # --- Fixed values: input file names, their columns and types. --------------------------------
@@ -115,4 +113,15 @@ PLANT = {
 }
 
 UNPLANNED_LABEL = "No programado"
+# Performance and quality rate by machine name.
+MACHINE_RATES = {
+    "CNC Alpha 01": (0.91, 0.98),
+    "CNC Alpha 02": (0.89, 0.97),
+    "Torno CNC 03": (0.82, 0.96),
+    "Fresadora 04": (0.93, 0.99),
+    "Centro Mec. 05": (0.88, 0.97),
+    "Torno CNC 06": (0.79, 0.95),
+    "Rectificadora 07": (0.83, 0.96),
+    "CNC Delta 08": (0.94, 0.98),
+}
 # ---------------------------------------------------------------------------------------------

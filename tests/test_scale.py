@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bizops import session
 from bizops.operators import coverage, kpi, profit, quality
+from bizops.plans import catalog
 from bizops.plans.star import Star
 from bizops.session import (
-    ADAPTIVE, INITIAL_PARTITIONS, shuffle_tasks, size_shuffles, tune, use_checkpoint_dir, written_table,
+    ADAPTIVE, clear_scratch, cut_lineage, scratch_folder, storage, tune, use_checkpoint_dir, written_table,
 )
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,7 +40,7 @@ def test_a_source_is_joined_only_when_needed(spark):
     assert plan(star.sales("sale_date")).count("Join") == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text), text
@@ -106,25 +106,76 @@ def test_tune_sets_the_session(spark):
 
 def test_sources_avoid_local_lineage_cuts_and_collecting():
     root = pathlib.Path(entry.__file__).parent / "bizops"
-    for path in root.rglob("*.py"):
+    for path in (p for p in root.rglob("*.py") if "llm" not in p.parts):  # those have tests of their own
         text = path.read_text(encoding="utf-8")
         assert not re.search(r"localCheckpoint|\.collect\(|toPandas|crossJoin|\.rdd\b", text), path
 
 
-def test_shuffles_start_from_the_size_of_the_input(spark, conf):
-    assert shuffle_tasks(10 * 1024**2, 200) == 200
-    assert shuffle_tasks(10 * 1024**4, 200) == 40_000
-    assert shuffle_tasks(1024**4, 200) == 4096
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    assert size_shuffles(Star(spark, FOLDER).table("lineitem")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+def test_shuffle_partitions_are_an_explicit_choice(spark, conf):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    tune(spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    conf(spark__sql__shuffle__partitions=before)  # restored after the test
+    tune(spark, shuffle_partitions=400_000)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "400000"
+
+
+def scans(df, table):
+    """Scans of a table by the plan of ``df``, and columns they read."""
+    return re.findall(rf"FileScan parquet \[([^\]]*)\][^\n]*/{table}\.parquet", plan(df))
+
+
+@pytest.mark.parametrize("name", ["quality_report", "orphan_keys", "control_totals", "date_range_check"])
+def test_the_fact_is_read_once(spark, monkeypatch, name):
+    """Everything is derived from one reduced, written table."""
+    seen = []
+
+    def count(df, *_):
+        seen.append(len(scans(df, "lineitem")))
+        return cut_lineage(df)
+
+    monkeypatch.setattr("bizops.operators.quality.cut_lineage", count)
+    monkeypatch.setattr("bizops.plans.catalog.cut_lineage", count)
+    final = entry.queries()[name](spark, FOLDER)
+    assert sum(seen) == 1 and not scans(final, "lineitem")
+
+
+def test_events_are_read_once_per_use(spark):
+    assert len(scans(entry.queries()["downtime_kpis"](spark, FOLDER), "events")) == 1
+
+
+@pytest.mark.parametrize("name", ["store_ticket", "monthly_kpis"])
+def test_two_distinct_counts_expand_tickets_not_lines(spark, name):
+    text = plan(entry.queries()[name](spark, FOLDER))
+    below = text[text.index("Expand"):]
+    assert below.count("HashAggregate") >= 2 and "lineitem" in below  # lines are summed below it
+
+
+def test_profile_prices_sums_not_lines(spark):
+    """The costs are joined above the sum by product."""
+    star = Star(spark, FOLDER)
+    text = plan(profit.profile(
+        star.sales("product_id", "sale_date", "qty", "revenue"), star.customers(), star.products(), star.stores()))
+    assert re.search(r"Join \[product_id#\d+L?\], \[product_id#\d+L?\], LeftOuter[\s\S]*keys=\[product_id#\d+L?\], functions=\[partial_count", text)
+
+
+def test_hot_dimension_key_does_not_grow_the_anti_join(spark):
+    """A third of the right side holds one key: it is one row before the join."""
+    fact = spark.range(1000).select(F.col("id").alias("k"))
+    dim = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).alias("k"))
+    df = quality.orphan_keys(fact, dim, "k")
+    assert df.first()["orphan_rows"] == 500
+    text = plan(df)
+    assert "LeftAnti" in text and text.count("keys=[key#") >= 2
 
 
-def test_only_small_tables_are_spread(spark, monkeypatch):
-    df = spark.range(10)
-    assert "REPARTITION_BY_NUM" in plan(session.spread_small(df, "id"))
-    monkeypatch.setattr(session, "SMALL_TABLE_BYTES", 1)
-    assert session.spread_small(df, "id") is df
+def test_nothing_is_left_in_scratch(spark):
+    for name in ("findings_ranked", "published_report", "rfm_scores", "saved_star_slice"):
+        entry.queries()[name](spark, FOLDER).collect()
+    fs, path = storage(scratch_folder(spark))
+    assert fs.get_file_info(path).is_file is False and fs.get_file_info(path).type.name == "Directory"
+    clear_scratch(spark)
+    assert fs.get_file_info(path).type.name == "NotFound"
 
 
 def test_written_table_is_read_by_column(spark):
@@ -134,5 +185,5 @@ def test_written_table_is_read_by_column(spark):
 
 def test_whole_tables_not_samples():
     root = pathlib.Path(entry.__file__).parent / "bizops"
-    for path in root.rglob("*.py"):
+    for path in (p for p in root.rglob("*.py") if "llm" not in p.parts):
         assert not re.search(r"\.sample\(|TABLESAMPLE|\.head\(|\.take\(", path.read_text(encoding="utf-8")), path

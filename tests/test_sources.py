@@ -6,10 +6,16 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from bizops.operators import abcxyz
+from bizops.operators import abcxyz, downtime
 from bizops.operators.profit import in_period
 from bizops.sources import load, publish
-from bizops.sources.schemas import UNPLANNED_LABEL
+from bizops.sources.schemas import INVENTORY, PLANT, STAR, UNPLANNED_LABEL
+
+BOM = load.BYTE_ORDER_MARK
+
+
+def header(table):
+    return ",".join(table.columns) + "\n"
 
 
 def write(path, text):
@@ -18,11 +24,10 @@ def write(path, text):
 
 def test_inventory_csv_with_byte_order_mark(spark, tmp_path):
     write(tmp_path / "productos.csv",
-          "﻿sku,nombre,categoria,tier_diseno,precio_unitario,costo_unitario,lead_time_dias,costo_pedido_fijo\n"
-          "SKU-002,LÁC-002,Lácteos,A,9251,6454,12,5835\n")
+          BOM + header(INVENTORY["productos"]) + "SKU-002,LÁC-002,Lácteos,A,9251,6454,12,5835\n")
     write(tmp_path / "demanda_mensual.csv",
-          "﻿sku,fecha,unidades_vendidas\nSKU-002,2024-01,60\nSKU-002,2024-02,80\n")
-    write(tmp_path / "inventario_actual.csv", "﻿sku,stock_actual,fecha_corte\nSKU-002,11,2025-01\n")
+          BOM + header(INVENTORY["demanda_mensual"]) + "SKU-002,2024-01,60\nSKU-002,2024-02,80\n")
+    write(tmp_path / "inventario_actual.csv", BOM + header(INVENTORY["inventario_actual"]) + "SKU-002,11,2025-01\n")
     t = load.load_inventory(spark, str(tmp_path))
     assert t["products"].first()["name"] == "LÁC-002"
     assert [r["month_start"] for r in t["demand"].orderBy("month_start").collect()] == [date(2024, 1, 1), date(2024, 2, 1)]
@@ -32,14 +37,12 @@ def test_inventory_csv_with_byte_order_mark(spark, tmp_path):
 
 def test_star_csv_is_typed(spark, tmp_path):
     write(tmp_path / "ventas.csv",
-          "id_venta,fecha,id_cliente,id_producto,id_sucursal,cantidad,precio_unitario,descuento,costo_unitario,"
-          "ingreso,costo,margen\n1,2024-01-02,C1,P1,S1,3,10.10,0.1,4.0,30.3,12.0,18.3\n")
+          header(STAR["ventas"]) + "1,2024-01-02,C1,P1,S1,3,10.10,0.1,4.0,30.3,12.0,18.3\n")
     write(tmp_path / "clientes.csv",
-          "id_cliente,nombre_cliente,segmento,ciudad,region,fecha_alta,es_fuga\nC1,Ana,A,X,Sur,2023-01-01,True\n")
+          header(STAR["clientes"]) + "C1,Ana,A,X,Sur,2023-01-01,True\n")
     write(tmp_path / "productos.csv",
-          "id_producto,nombre_producto,categoria,costo_unitario,precio_lista,es_margen_fino,es_baja_rotacion\n"
-          "P1,uno,c,4.0,11.2,False,True\n")
-    write(tmp_path / "sucursales.csv", "id_sucursal,nombre_sucursal,ciudad,region\nS1,Sur,Bariloche,Sur\n")
+          header(STAR["productos"]) + "P1,uno,c,4.0,11.2,False,True\n")
+    write(tmp_path / "sucursales.csv", header(STAR["sucursales"]) + "S1,Sur,Bariloche,Sur\n")
     t = load.load_star(spark, str(tmp_path), fmt="csv")
     sale = t["sales"].first()
     assert (sale["sale_date"], sale["revenue"], sale["discount"]) == (date(2024, 1, 2), D("30.30"), D("0.10"))
@@ -49,19 +52,64 @@ def test_star_csv_is_typed(spark, tmp_path):
 
 def test_plant_csv_hours_become_exact_minutes(spark, tmp_path):
     write(tmp_path / "equipos.csv",
-          "﻿id_equipo,nombre_equipo,linea_produccion,costo_hora_parada,fecha_ultimo_service,proximo_service,"
-          "dias_para_service,intervalo_servicio_dias\n1,CNC,Línea A,10500,2024-08-15,2025-02-11,41,180\n")
+          BOM + header(PLANT["equipos"]) + "1,CNC,Línea A,10500,2024-08-15,2025-02-11,41,180\n")
     write(tmp_path / "registro_paros.csv",
-          "﻿fecha,id_equipo,nombre_equipo,linea,turno,tipo_paro,categoria_causa,causa_detalle,horas_paro,costo_paro\n"
-          f"2024-01-02,1,CNC,Línea A,Turno 1,{UNPLANNED_LABEL},Mecánica,Falla,1.1,11550\n")
+          BOM + header(PLANT["registro_paros"])
+          + f"2024-01-02,1,CNC,Línea A,Turno 1,{UNPLANNED_LABEL},Mecánica,Falla,1.1,11550\n")
     t = load.load_plant(spark, str(tmp_path))
     assert t["machines"].first()["hourly_cost"] == 10500
     assert t["stoppages"].first()["minutes"] == D("66.00")
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    write(tmp_path / "x.csv", BOM + "ciudad,extra,id_sucursal,region,nombre_sucursal\nBariloche,9,S1,Sur,Tienda Sur\n")
+    row = load._read(spark, str(tmp_path / "x.csv"), STAR["sucursales"], "csv").first()
+    assert (row["store_id"], row["store_name"], row["city"], row["region"]) == ("S1", "Tienda Sur", "Bariloche", "Sur")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_missing_column_is_an_error(spark, tmp_path, fmt):
+    spark.createDataFrame([("S1", "Sur")], "id_sucursal string, region string").write.option("header", True).format(fmt).save(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="nombre_sucursal, ciudad"):
+        load._read(spark, str(tmp_path / "t"), STAR["sucursales"], fmt)
+
+
+def test_a_bad_cell_becomes_null(spark, tmp_path):
+    write(tmp_path / "inventario_actual.csv", "sku,stock_actual,fecha_corte\nA,x,2025-01\nB,7,2025-01\n")
+    rows = load._read(spark, str(tmp_path / "inventario_actual.csv"), INVENTORY["inventario_actual"], "csv").orderBy("sku").collect()
+    assert [r["stock_on_hand"] for r in rows] == [None, 7]
+
+
+def test_plant_files_to_effectiveness(spark, tmp_path):
+    """From the files to the panel without naming a label or a rate."""
+    write(tmp_path / "equipos.csv", header(PLANT["equipos"]) + "1,CNC Alpha 01,A,10500,2024-08-15,2025-02-11,41,180\n2,Torno CNC 06,B,9800,2024-08-15,2025-02-11,41,180\n3,Sin datos,B,9800,2024-08-15,2025-02-11,41,180\n")
+    write(tmp_path / "registro_paros.csv", header(PLANT["registro_paros"])
+          + f"2024-01-02,1,CNC Alpha 01,A,T1,{UNPLANNED_LABEL},Mecánica,Falla,292,1\n2024-01-03,1,CNC Alpha 01,A,T1,Programado,Service,x,50,1\n")
+    t = load.load_plant(spark, str(tmp_path))
+    got = {r["machine_id"]: r for r in downtime.oee(t["stoppages"], t["machines"], 2920).collect()}
+    assert got[1]["hours"] == 292 and got[1]["oee"] == pytest.approx(0.9 * 0.91 * 0.98)
+    assert got[2]["hours"] == 0 and got[2]["oee"] == pytest.approx(0.79 * 0.95) and got[3]["oee"] is None
+    costed = downtime.stoppage_cost(t["stoppages"], t["machines"])
+    kpis = downtime.downtime_kpis(costed, t["machines"], 2920).first()
+    assert (kpis["hours"], kpis["cost"], kpis["events"]) == (292, 292 * 10500, 1)
+    own = spark.createDataFrame([("Sin datos", 1.0, 0.5)], "machine_name string, performance double, quality double")
+    rated = load.load_plant(spark, str(tmp_path), rates=own)["machines"].where("machine_id = 3").first()
+    assert (rated["performance"], rated["quality"]) == (1.0, 0.5)
+
+
+def test_read_sheet_skips_the_lines_above_the_header(spark, tmp_path):
+    write(tmp_path / "s.csv", BOM + 'Analysis,,\n,,\nall in pesos\nCode,,"Price, net"\nP1,x,"10,5"\n\nP2,,n/a\n')
+    sheet = load.read_sheet(spark, str(tmp_path / "s.csv"), header_row=4)
+    assert sheet.columns == ["Code", "col2", "Price, net"]
+    assert [tuple(r) for r in sheet.collect()] == [("P1", "x", "10,5"), ("P2", None, "n/a")]
+    assert load.read_sheet(spark, str(tmp_path / "s.csv"), header_row=4, columns=2).columns == ["Code", "col2"]
+    with pytest.raises(ValueError, match="no header in line 40"):
+        load.read_sheet(spark, str(tmp_path / "s.csv"), header_row=40)
+
+
 def test_clean_extract(spark):
     df = spark.createDataFrame(
-        [("1", "a", "10.5"), (None, "a", "1"), ("2", "other", "1"), ("3", "b", "n/a"), ("4", "b", None)],
+        [("1", "a", "10.5"), (None, "a", "1"), ("", "a", "1"), ("  ", "a", "1"), ("2", "other", "1"), ("3", "b", "n/a"), ("4", "b", None)],
         "id string, cat string, amount string")
     rows = load.clean_extract(df, "id", "cat", ["a", "b"], ["amount"]).orderBy("id").collect()
     assert [(r["id"], r["amount"]) for r in rows] == [("1", 10.5), ("3", None), ("4", None)]
@@ -91,6 +139,9 @@ def test_snapshot_freezes_the_previous_month_and_keeps_the_others(spark, tmp_pat
     assert publish.snapshot(spark.range(4), path, "2024-03-31") == "2024-02"  # replaces only February
     counts = {r["period"]: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
     assert {str(k)[:7]: v for k, v in counts.items()} == {"2024-02": 4, "2023-12": 5}
+    publish.snapshot(spark.range(0), path, "2024-03-31")  # an empty report empties its month
+    counts = {r["period"]: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
+    assert {str(k)[:7]: v for k, v in counts.items()} == {"2023-12": 5}
 
 
 def test_saved_star_prunes_months(spark, tmp_path):
