@@ -134,14 +134,15 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str = "
 
     # What is left of the target is smaller than the next document in rank; of the documents not
     # taken, the one whose size closes the gap best is added (lowest rank first), if it narrows it.
-    gaps = taken.groupBy("_s").agg(
+    # One row per source each, written so that their sizes are known where they are joined.
+    gaps = scratch.table(taken.groupBy("_s").agg(
         (F.max("_rest") - F.sum(F.when(F.col("_in"), F.col("size")).otherwise(0))).alias("_gap")
-    )
-    closing = (
+    ), "gaps")
+    closing = scratch.table(
         taken.where("NOT _in AND _q IS NOT NULL AND size > 0").join(gaps, "_s")
         .where(F.abs(F.col("_gap") - F.col("size")) < F.col("_gap"))
         .groupBy(F.col("_s").alias("_close"))
-        .agg(F.min(F.struct(F.abs(F.col("_gap") - F.col("size")).alias("d"), "_q", "_id", "size")).alias("_best"))
+        .agg(F.min(F.struct(F.abs(F.col("_gap") - F.col("size")).alias("d"), "_q", "_id", "size")).alias("_best")), "closing",
     )
     done = taken.join(closing, F.col("_s") == F.col("_close"), "left")
     best = F.col("_best._q").eqNullSafe(F.col("_q")) & F.col("_best._id").eqNullSafe(F.col("_id")) & (F.col("_best.size") == F.col("size"))
