@@ -1,3 +1,132 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from bizops.llm.mixing import MAX_COPIES, WEIGHTS
+from bizops.llm.secretscan import RULES
+
+
+def _spans(number: int) -> str:
+    """Rows (doc_id, start, kind, end) of one rule: the texts between the matches and the matches
+    alternate, so their lengths give the places."""
+    rule = RULES[number]
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return f"""
+        SELECT doc_id, first + between_ AS start_, {number} AS kind, first + between_ + length(m) AS end_
+        FROM (SELECT doc_id, m, g, SUM(length(b)) OVER w AS between_,
+                     SUM(length(m)) OVER w - length(m) AS first
+              FROM (SELECT doc_id, unnest(found) AS m, unnest(checked) AS g, unnest(list_slice(gaps, 1, len(found))) AS b,
+                           unnest(range(len(found))) AS i
+                    FROM (SELECT doc_id, regexp_extract_all(text_, {pattern}, 0) AS found,
+                                 regexp_extract_all(text_, {pattern}, {rule.group}) AS checked,
+                                 string_split_regex(text_, {pattern}) AS gaps FROM texts))
+              WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+        WHERE length(g) >= {rule.least}"""
+
+
+def _secrets() -> str:
+    kinds = [r.kind for r in RULES]
+    counts = ", ".join(f"COUNT(*) FILTER (kind = {k}) AS n_{name}" for k, name in enumerate(kinds))
+    names = "CASE kind " + " ".join(f"WHEN {k} THEN '{name}'" for k, name in enumerate(kinds)) + " END"
+    zeros = ", ".join(f"CAST(COALESCE(n_{name}, 0) AS BIGINT) AS n_{name}" for name in kinds)
+    return f"""
+        WITH texts AS (SELECT doc_id, COALESCE(text, '') AS text_ FROM documents),
+        found AS ({" UNION ALL ".join(_spans(k) for k in range(len(kinds)))}),
+        listed AS (SELECT doc_id, {counts},
+                          string_agg({names} || ':' || CAST(start_ AS BIGINT) || ':' || CAST(end_ AS BIGINT), ',' ORDER BY start_, kind) AS spans
+                   FROM found GROUP BY doc_id)
+        SELECT doc_id, {zeros}, sha256(COALESCE(spans, '')) AS base_sha256, COALESCE(spans, '') AS spans
+        FROM documents LEFT JOIN listed USING (doc_id)"""
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BASE32 = LETTERS + "234567"
+NIBBLES = ", ".join(f"'{i:04b}'" for i in range(16))
+
+WARC = f"""
+        WITH digests AS (
+            SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha1(COALESCE(html, '')) AS hex FROM pages),
+        bits AS (
+            SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ([{NIBBLES}])[strpos('0123456789abcdef', substr(hex, i, 1))]), '') AS b,
+                   MIN(page_id) OVER (PARTITION BY hex) AS first FROM digests)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', 1 + CAST(
+                   16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT)
+                   + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT)
+                   + CAST(substr(b, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM bits"""
+
+TOP_K = """
+        WITH scaled AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM scaled q JOIN scaled c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores) WHERE r <= 10"""
+
+
+def _words(table: str, key: str) -> str:
+    text = f"translate(COALESCE(text, ''), '{LETTERS}', '{LETTERS.lower()}')"
+    return f"SELECT {key}, regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}"
+
+
+CONTAMINATION = f"""
+        WITH docs AS ({_words("documents", "doc_id")}),
+        items AS ({_words("benchmark", "item_id")}),
+        asked AS (
+            SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS phrase
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+        there AS (
+            SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS phrase
+            FROM (SELECT doc_id, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS i FROM docs, (SELECT DISTINCT n FROM asked))),
+        found AS (SELECT doc_id, item_id, n, i FROM there JOIN asked USING (n, phrase)),
+        hits AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1),
+        named AS (
+            SELECT doc_id, COUNT(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+            FROM found GROUP BY 1)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+               sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+MIX = f"""
+        WITH rows_ AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+                   (CAST('0x' || substr(md5('42:' || COALESCE(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE) AS u
+            FROM documents),
+        sources AS (
+            SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
+                   CAST(([{", ".join(map(str, WEIGHTS))}])[1 + (ROW_NUMBER() OVER (ORDER BY source IS NULL, source) - 1) % {len(WEIGHTS)}] AS DOUBLE) AS weight
+            FROM rows_ GROUP BY source),
+        filled AS (
+            SELECT *, (SUM(source_size) OVER () - COALESCE(SUM({MAX_COPIES} * source_size) OVER (ORDER BY {MAX_COPIES} * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / SUM(weight) OVER (ORDER BY {MAX_COPIES} * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM sources),
+        targets AS (
+            SELECT source, source_size, round(least(CAST({MAX_COPIES} * source_size AS DOUBLE), weight * (
+                       SELECT MIN_BY(level, {MAX_COPIES} * source_size / weight) FROM filled WHERE {MAX_COPIES} * source_size / weight >= level)), 6) AS target
+            FROM sources),
+        planned AS (
+            SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole FROM targets),
+        ranked AS (
+            SELECT r.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
+                   SUM(r.size) OVER (PARTITION BY r.source ORDER BY u, doc_id, r.size ROWS UNBOUNDED PRECEDING) AS upto
+            FROM rows_ r JOIN planned p ON r.source IS NOT DISTINCT FROM p.source),
+        prefix AS (SELECT *, rest > 0 AND upto <= rest AS in_ FROM ranked),
+        gaps AS (SELECT *, rest - COALESCE(SUM(size) FILTER (in_) OVER (PARTITION BY source), 0) AS gap FROM prefix),
+        closing AS (
+            SELECT source, MIN_BY(doc_id, (abs(gap - size), u, doc_id)) AS best FROM gaps
+            WHERE NOT in_ AND rest > 0 AND size > 0 AND abs(gap - size) < gap GROUP BY source)
+        SELECT doc_id, size, source_size, target, whole + n AS copies, size * (whole + n) AS taken
+        FROM (SELECT g.*, CAST(in_ OR COALESCE(doc_id = best, FALSE) AS BIGINT) AS n
+              FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source)"""
+
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": _secrets(),
+    "op3_warc": WARC,
+    "op6_top_k": TOP_K,
+    "op7_decontaminate": CONTAMINATION,
+    "op9_mix": MIX,
+}
