@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.llm import varint
-from bizops.llm.scratch import Scratch, storage, write_once
+from bizops.llm.scratch import Scratch, spread, storage, write_once
 
 SCALE = 1024
 SHARD = 8192  # vectors of one shard
@@ -206,7 +206,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 10,
     written = scratch.table(asked.mapInPandas(_write_queries(folder), "block string"), "blocks")
     # File names of query blocks: each task of this small stage writes one for 4,096 queries.
     blocks = sorted(r["block"] for r in written.collect())
-    best = index.repartition("shard").sortWithinPartitions("shard", "term").mapInPandas(
+    best = index.repartition(spread(index), "shard").sortWithinPartitions("shard", "term").mapInPandas(
         _search(folder, blocks, k), "query_id bigint, vec_id bigint, score bigint"
     )
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

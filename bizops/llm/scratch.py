@@ -16,7 +16,9 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 import bizops
-from bizops.session import use_checkpoint_dir
+from bizops.session import storage, use_checkpoint_dir
+
+__all__ = ["Scratch", "ship_package", "spread", "storage", "write_once"]
 
 _SHIPPED: set[str] = set()
 
@@ -43,13 +45,10 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def storage(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path behind a folder name, on the driver or an executor."""
-    if "://" in uri or uri.startswith("file:"):
-        if uri.startswith("file:") and not uri.startswith("file://"):
-            uri = "file://" + uri[len("file:"):]
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri
+def spread(df: DataFrame) -> int:
+    """Partitions for small rows that stand for much work, such as files to be read: the session's
+    number, given explicitly so that adaptive execution does not merge them by their size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def write_once(folder: str, name: str, data) -> str:

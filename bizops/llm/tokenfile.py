@@ -11,6 +11,7 @@ fingerprint and one read, however many documents there are.
 from __future__ import annotations
 
 import io
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,11 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bizops.llm.scratch import Scratch, storage, write_once
+from bizops.llm.scratch import Scratch, spread, storage, write_once
 from bizops.llm.tokens import load_tokenizer
 
 BUCKET_KEYS = 4096  # keys of one hash bucket, give or take
-CACHE_WORDS = 300_000  # words whose ids a task remembers
+ENCODE_CHARS = 1 << 20  # characters of texts that are encoded together
+CACHE_PIECES = 600_000  # pre-tokens whose ids a worker remembers, give or take
 READ_BYTES = 8 << 20  # what one read of neighbouring documents takes at most
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -97,53 +99,106 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- writing
 
 
-class WordEncoder:
-    """Ids of texts as bytes, remembering the ids of words.
+# Fixed values of the tokenizer: its split of lower-case text, for letters up to Latin-1.
+_LETTERS = "a-zß-öø-ÿ"
+_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+#: Characters beyond which the split is left to the library, and the beginning of special strings.
+_OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ÿ]|<\\|")
 
-    Only for tokenizers that drop white space and never join across it: a text's ids are then the
-    ids of its white-space separated words in turn, special strings (which hold no white space)
-    included.
+
+class PieceEncoder:
+    """Ids of texts as bytes, remembering the ids of pre-tokens.
+
+    For the tokenizer that lower-cases, drops white space and splits as ``_CUT`` does; its ids of
+    a text are those of the pre-tokens in turn.  Texts with other letters, special strings or
+    separators that Python and the tokenizer treat differently go to the library whole.  Memory is
+    bounded: of the pre-tokens seen, the last ``limit`` to two times ``limit`` are remembered.
     """
 
-    # split() also cuts at these four, which are not white space to the tokenizer
-    _ODD = str.maketrans({c: None for c in "\x1c\x1d\x1e\x1f"})
+    _JOINED = 64  # new pre-tokens handed to the library as one text
 
-    def __init__(self, tokenizer_path: str, dtype: str, limit: int = CACHE_WORDS):
+    def __init__(self, tokenizer_path: str, dtype: str, limit: int = CACHE_PIECES):
         self.tokenizer, self.dtype, self.limit = load_tokenizer(tokenizer_path), dtype, limit
         self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.older: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a pre-token
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of new pre-tokens, many to a text: each ends with the only one of its ids that
+        can end one, so they can be told apart; where the numbers disagree, one by one."""
+        groups = [pieces[i : i + self._JOINED] for i in range(0, len(pieces), self._JOINED)]
+        for group, ids in zip(groups, self.ids([" ".join(g) for g in groups])):
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(group) and cuts[-1] == len(ids):
+                data, at = ids.tobytes(), [0, *(cuts * ids.itemsize).tolist()]
+                yield from zip(group, (data[a:b] for a, b in zip(at, at[1:])))
+            else:
+                yield from zip(group, (x.tobytes() for x in self.ids(group)))
 
     def encode(self, text: str) -> bytes:
-        if len(text.translate(self._ODD)) != len(text):
-            return self.ids([text])[0]
-        words = text.split()
-        parts = list(map(self.known.get, words))
-        if None in parts:
-            if len(self.known) > self.limit:
-                self.known.clear()
-            new = list(dict.fromkeys(w for w, p in zip(words, parts) if p is None))
-            fresh = dict(zip(new, self.ids(new)))
-            parts = [fresh[w] if p is None else p for w, p in zip(words, parts)]
-            self.known.update(fresh)
-        return b"".join(parts)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of several texts; their new pre-tokens are looked up together."""
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        pieces = [None if _OTHER.search(t) else _CUT.findall(t.lower()) for t in texts]
+        found = [None if p is None else list(map(self.known.get, p)) for p in pieces]
+        some = [i for i, f in enumerate(found) if f is not None and None in f]
+        if some:
+            lost = set().union(*(pieces[i] for i in some)).difference(self.known)
+            self.known.update((w, self.older[w]) for w in lost.intersection(self.older))
+            self.known.update(self._learn(sorted(lost.difference(self.older))))
+            for i in some:
+                found[i] = map(self.known.__getitem__, pieces[i])
+        return [self.ids([t])[0].tobytes() if f is None else b"".join(f) for t, f in zip(texts, found)]
+
+
+_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+
+
+def encoder_for(tokenizer_path: str, dtype: str) -> PieceEncoder:
+    """The encoder of this Python worker, kept from task to task with what it knows."""
+    key = tokenizer_path, dtype
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(tokenizer_path, dtype)
+    return _ENCODERS[key]
+
+
+def by_size(texts: list[str], chars: int) -> Iterator[slice]:
+    """Slices of neighbouring texts of about so many characters, one text at least."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) > chars:
+            yield slice(first, i)
+            first, size = i, 0
+        size += len(t)
+    if texts:
+        yield slice(first, len(texts))
 
 
 def _write_shards(folder: str, tokenizer_path: str, dtype: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = WordEncoder(tokenizer_path, dtype), TaskContext.get().partitionId()
+        encoder, shard = encoder_for(tokenizer_path, dtype), TaskContext.get().partitionId()
         end, width = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
         rows: list[tuple] = []
 
         def payload(out) -> None:
             at = 0
             for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    data = encoder.encode(text or "") + end
-                    out.write(data)
-                    rows.append((key, at, len(data) // width))
-                    at += len(data) // width
+                keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+                for some in by_size(texts, ENCODE_CHARS):
+                    for key, data in zip(keys[some], encoder.encode_many(texts[some])):
+                        out.write(data)
+                        out.write(end)
+                        n = len(data) // width + 1
+                        rows.append((key, at, n))
+                        at += n
 
         name = write_once(f"{folder}/shards", f"{shard:06d}", payload)
         for i in range(0, len(rows), 10_000):
@@ -330,7 +385,7 @@ def read_documents(dataset: TokenDataset, keys: DataFrame, id_col: str = "doc_id
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
     placed = look_up(dataset, keys, id_col).join(dataset.shards.select("shard", "file", "base"), "shard")
     return (
-        placed.repartition("shard").sortWithinPartitions("shard", "at")
+        placed.repartition(spread(keys), "shard").sortWithinPartitions("shard", "at")
         .mapInPandas(_read(dataset.folder, dataset.dtype, with_ids), schema)
     )
 

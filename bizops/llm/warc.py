@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.llm.scratch import Scratch, storage, write_once
+from bizops.llm.scratch import Scratch, spread, storage, write_once
 
 # Fixed values of the format
 VERSION = b"WARC/1.1"
@@ -179,6 +179,6 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
     their digests."""
     schema = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint"
     return (
-        index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+        index.select("file", "offset", "length").repartition(spread(index), "file").sortWithinPartitions("file", "offset")
         .mapInPandas(_read(folder, with_payload), schema + (", payload binary" if with_payload else ""))
     )

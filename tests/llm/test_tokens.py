@@ -33,7 +33,7 @@ def test_cutting_at_white_space_changes_no_token():
 
 
 def test_word_encoder_equals_the_library():
-    encoder, rng = tokenfile.WordEncoder(LETTERS, "<u2", limit=50), random.Random(2)
+    encoder, rng = tokenfile.PieceEncoder(LETTERS, "<u2", limit=50), random.Random(2)
     for _ in range(3000):
         text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
