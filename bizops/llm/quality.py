@@ -3,7 +3,7 @@
 Two zstandard dictionaries are trained on labelled text.  A document is compressed with both; the
 difference of the sizes, divided by the text's length and by the sum of the sizes, together with
 the length and the better ratio (a text that repeats itself shrinks under any dictionary), goes
-through a logistic calibration fitted on labelled texts that the dictionaries never saw.
+through a logistic calibration fitted on whole labelled texts that the dictionaries never saw.
 """
 
 from __future__ import annotations
@@ -70,10 +70,11 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
-        per_label: int = 2400, excerpt: int = 2000, size: int = 262_144, level: int = 3) -> QualityModel:
+        per_label: int = 3200, excerpt: int = 2000, size: int = 262_144, level: int = 3) -> QualityModel:
     """Fit on a bounded sample: about ``per_label`` labelled documents of each class that are not
-    held out, the first ``excerpt`` characters of each (scoring takes whole texts).  Two thirds
-    train the dictionaries, the rest calibrates with the classes' true shares.
+    held out.  Half of them train the dictionaries, with the first ``excerpt`` characters of each;
+    the other half calibrates, with whole texts as they will be scored (only their four features
+    come to the driver) and the classes' true shares.
 
     Labels other than 0 and 1 and null texts are left out.  Without examples of both classes the
     model gives every text the same score, the share of label 1 (0.5 without any label).
@@ -82,27 +83,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")
     ).distinct()
     totals = label_sizes(known, "_y")
-    chosen = even_sample(known, "_y", "_id", per_label, totals)  # bounded by per_label, so it may be broadcast
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.substring(text, 1, excerpt).alias("_text"))
-        .join(F.broadcast(chosen), "_id")
-        .where("_text IS NOT NULL")
-        .select("_y", F.encode("_text", "utf-8").alias("t"), F.xxhash64("_id", "_text").alias("h"))
-        .collect()
-    )
-    found = {y: [bytes(r["t"]) for r in sorted((r for r in rows if r["_y"] == y), key=lambda r: r["h"])] for y in (0, 1)}
+    chosen = F.broadcast(even_sample(known, "_y", "_id", per_label, totals))  # bounded by per_label
+    named = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("t")).where("t IS NOT NULL")
+    sample = named.join(chosen, "_id").withColumn("h", F.xxhash64(F.lit("half"), "_id"))
+    train = sample.where("h >= 0").select("_y", F.encode(F.substring("t", 1, excerpt), "utf-8").alias("t"), "h").collect()
+    found = {y: [bytes(r["t"]) for r in sorted((r for r in train if r["_y"] == y), key=lambda r: r["h"])] for y in (0, 1)}
     share = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
     constant = (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0, 0.0)
     flat = QualityModel(b"", b"", level, constant, (0.0,) * 4, (1.0,) * 4)
-    if min(len(v) for v in found.values()) < 3:
+    if not all(found.values()):
+        return flat
+    good, bad = (dictionary(found[y], size, level, trained=True) for y in (1, 0))
+
+    def measure():
+        pair = [compressor(d, level, trained=True) for d in (good, bad)]
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            x = features([t.as_py().encode("utf-8", "surrogatepass") for t in texts], pair)
+            return [pa.array(x.tolist(), pa.list_(pa.float64()))]
+
+        return run
+
+    rest = sample.where("h < 0")
+    rows = map_texts(rest, "t", [F.col("_y"), F.col("h")], "x array<double>", measure).collect()
+    rows.sort(key=lambda r: (r["h"], r["_y"]))
+    x, y = np.array([r["x"] for r in rows]), np.array([r["_y"] for r in rows])
+    if len(set(y.tolist())) < 2:
         return flat
-    cut = {y: max(1, len(v) * 2 // 3) for y, v in found.items()}
-    good, bad = (dictionary(found[y][: cut[y]], size, level, trained=True) for y in (1, 0))
-    pair = [compressor(d, level, trained=True) for d in (good, bad)]
-    rest = {y: v[cut[y]:] for y, v in found.items()}
-    x = features(rest[1] + rest[0], pair)
-    y = np.r_[np.ones(len(rest[1])), np.zeros(len(rest[0]))]
-    weight = np.where(y == 1, share / len(rest[1]), (1 - share) / len(rest[0])) * len(y)
+    weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum()) * len(y)
     return QualityModel(good, bad, level, *calibrate(x, y, weight))
 
 
