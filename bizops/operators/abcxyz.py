@@ -27,6 +27,7 @@ HOURS_SAVED_PER_MONTH = 7.5
 # Service levels by class: 98 % for the steady best sellers, 90 % for the erratic tail, else 95 %.
 Z_BY_CLASS = {"AX": 2.054, "CZ": 1.282}
 
+# The columns of the two published tables, in their order.
 CLASSIFICATION_COLUMNS = [
     "sku", "name", "category", "abc", "xyz", "class", "cv", "revenue_total", "revenue_share",
     "cumulative_share",

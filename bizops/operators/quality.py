@@ -76,9 +76,14 @@ def rolled_totals(sales: DataFrame, dim: str) -> tuple[DataFrame, DataFrame]:
 
 
 def control_totals(totals: DataFrame, derived: DataFrame) -> DataFrame:
-    """Reconcile a derived table with the totals of the fact it came from; both have the columns
-    lines, revenue and margin and are summed."""
+    """Reconcile a derived table with the fact it came from.
+
+    Both are summed over lines, revenue and margin; without a ``lines`` column, as in the fact
+    itself, every row is a line.
+    """
     names = ["lines", "revenue", "margin"]
+    if "lines" not in totals.columns:
+        totals = totals.withColumn("lines", F.lit(1))
 
     def long(df: DataFrame, value: str) -> DataFrame:
         sums = df.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,4)").alias(c) for c in names])
