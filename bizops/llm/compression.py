@@ -62,8 +62,11 @@ def compressor(content: bytes, level: int, trained: bool) -> zstandard.ZstdCompr
 def map_texts(docs: DataFrame, text: str, keep: Sequence[Column], schema: str, scorer) -> DataFrame:
     """``keep`` columns and the columns that ``scorer()`` - called once a task - returns for the
     texts of each Arrow batch, as a list of arrays."""
-    kept = docs.select(*keep, F.col(text).alias("_text"))
-    names = kept.columns[:-1]
+    types = docs.select(*keep).schema
+    names, own = list(types.names), "_text"
+    while own in names:
+        own += "_"
+    kept = docs.select(*keep, F.col(text).alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer()
@@ -71,7 +74,6 @@ def map_texts(docs: DataFrame, text: str, keep: Sequence[Column], schema: str, s
             made = score(batch.column(len(names)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=fields)
 
-    types = kept.drop("_text").schema
     added = kept.sparkSession.createDataFrame([], schema).schema
     fields = [*names, *added.names]
     for field in added:

@@ -56,7 +56,7 @@ def test_quality_never_looks_at_held_out_labels(labelled):
 def test_quality_edge_cases(labelled, make_docs, edge_rows):
     docs, labels = labelled
     model = quality.fit(docs, labels)
-    found = quality.score(make_docs(edge_rows), model, keep=["score", "_text"] if False else ["lang"]).collect()
+    found = quality.score(make_docs(edge_rows), model, keep=["lang", "_text"]).collect()
     assert len(found) == len(edge_rows) and all(0 <= r["score"] <= 1 for r in found)
     assert len({r["score"] for r in found if r["doc_id"] in (3, 4)}) == 1 and len({r["score"] for r in found if r["doc_id"] == 9}) == 1
     assert quality.score(make_docs([]), model).count() == 0

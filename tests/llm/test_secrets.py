@@ -31,7 +31,7 @@ def test_trigram_queries():
         {"tok", "oke", "ken", "en="}, {"sec", "ecr", "cre", "ret", "et="})}
     assert trigram_query("abc|x.z") is None  # one branch has no trigram
     assert trigram_query("abc.*wxyz") == [{"wxy", "xyz"}]
-    assert trigram_query("ab?cde") == [{"acd", "cde"}] or sorted(map(sorted, trigram_query("ab?cde"))) == [["abc", "bcd", "cde"], ["acd", "cde"]]
+    assert sorted(map(sorted, trigram_query("ab?cde"))) == [["abc", "bcd", "cde"], ["acd", "cde"]]
     assert set(vocabulary(RULES)) >= {"pas", "aki", "tok", "pik", "pi_"}
 
 
