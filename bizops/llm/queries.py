@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizops.llm import decontaminate, language, maxscore, mixing, quality, secretscan, simhash, tokenfile, tokens, warc
+from bizops.llm import (
+    decontaminate, importance, language, maxscore, mixing, periodic, quality, secretscan, simhash, tokenfile, tokens,
+    urlfilter, warc,
+)
 from bizops.llm.scratch import Scratch, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +118,48 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
     ))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the contract's periodic tails: where crc32(doc_id) is divisible by 10 and
+    the text has words, every word from place a on repeats the p words that start there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    )
+    n, g = F.size("words").cast("bigint"), F.floor(F.col("h") / 10)
+    a = F.pmod(g, n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+    placed = chosen.withColumns({"n": n, "a": F.when(n > 0, a).cast("int"), "p": F.when(n > 0, p).cast("int")})
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, and the document without their repetitions."""
+    found = periodic.find_runs(planted(table(spark, folder, "documents")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of every document when resampled towards the benchmark's words."""
+    with Scratch(spark, "importance") as scratch:
+        drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch)
+        return scratch.finish(drawn.select("doc_id", "n_features", "weight", "score", "rank"))
+
+
+@query
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of every page's URL: the given rules', else the mined ones'."""
+    with Scratch(spark, "url-filter") as scratch:
+        return scratch.finish(urlfilter.judge(table(spark, folder, "pages"), scratch).drop("antecedent"))
