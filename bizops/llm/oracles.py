@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from bizops.llm.mixing import MAX_COPIES, WEIGHTS
 from bizops.llm.secretscan import RULES
+from bizops.llm.urlfilter import CONFIDENCE, SUPPORT
+from bizops.llm.urlfilter import RULES as URL_RULES
 
 
 def _spans(number: int) -> str:
@@ -123,10 +125,106 @@ MIX = f"""
         FROM (SELECT g.*, CAST(in_ OR COALESCE(doc_id = best, FALSE) AS BIGINT) AS n
               FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source)"""
 
+def _crc_table() -> str:
+    """The 256 steps of CRC-32 for the reversed polynomial, as an SQL list."""
+    steps = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(value)
+    return "[" + ", ".join(f"{v}::BIGINT" for v in steps) + "]"
+
+
+IMPORTANCE = f"""
+        WITH docs AS ({_words("documents", "doc_id")}),
+        items AS ({_words("benchmark", "item_id")}),
+        here AS (SELECT doc_id, unnest(w) AS f FROM docs),
+        there AS (SELECT unnest(w) AS f FROM items),
+        bytes AS (
+            SELECT f, list_transform(range(octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS b
+            FROM (SELECT f FROM here UNION SELECT f FROM there)),
+        buckets AS (
+            SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[1 + CAST(xor(c, x) & 255 AS INT)])), 4294967295) % 10000 AS bucket
+            FROM bytes, (SELECT {_crc_table()} AS t)),
+        corpus AS (SELECT bucket, COUNT(*) AS s FROM here JOIN buckets USING (f) GROUP BY bucket),
+        target AS (SELECT bucket, COUNT(*) AS t FROM there JOIN buckets USING (f) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST((COALESCE(t, 0) + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+            FROM corpus LEFT JOIN target USING (bucket), (SELECT COUNT(*) AS all_s FROM here), (SELECT COUNT(*) AS all_t FROM there)),
+        means AS (
+            SELECT doc_id, CAST(floor(CAST(SUM(gain) AS DOUBLE) / COUNT(*)) AS BIGINT) AS weight
+            FROM here JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, COALESCE(weight, 0) AS weight,
+                   COALESCE(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+            FROM docs LEFT JOIN means USING (doc_id)),
+        ranked AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+                   COUNT(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank FROM ranked"""
+
+
+def _marked(mark: str, part: str, cut: str) -> str:
+    lowered = f"translate({part}, '{LETTERS}', '{LETTERS.lower()}')"
+    return f"list_transform(list_filter(string_split_regex({lowered}, '{cut}'), lambda x: x <> ''), lambda x: '{mark}' || x)"
+
+
+def _url_filter() -> str:
+    """Mined rules by counting every combination of frequent tokens of every judged URL; no URL of the
+    given tables has more of them than mining combines."""
+    given = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+    words = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    tokens = " || ".join([
+        _marked("h:", "host", "\\."), _marked("p:", "path", words),
+        _marked("q:", "regexp_extract(COALESCE(url, ''), '^[^?#]*\\?([^#]*)', 1)", words),
+        _marked("f:", "regexp_extract(COALESCE(url, ''), '^[^#]*#(.*)$', 1)", words),
+    ])
+    return f"""
+        WITH rests AS (
+            SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parsed AS (
+            SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*', 0), '{LETTERS}', '{LETTERS.lower()}') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+        rules AS (SELECT * FROM (VALUES {given}) AS r(verdict, rule_host, rule_path)),
+        fitting AS (
+            SELECT page_id, arg_max(rule_host || rule_path, (length(rule_host || rule_path), rule_host || rule_path, verdict)) AS rule,
+                   arg_max(verdict, (length(rule_host || rule_path), rule_host || rule_path, verdict)) AS given
+            FROM parsed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY page_id),
+        urls AS (SELECT page_id, host, path, rule, given, list_distinct({tokens}) AS tokens FROM parsed LEFT JOIN fitting USING (page_id)),
+        examples AS (SELECT * FROM urls WHERE given IS NOT NULL AND len(tokens) > 0),
+        total AS (SELECT COUNT(*) AS n FROM examples),
+        frequent AS (
+            SELECT list(token) AS tokens FROM (
+                SELECT token, COUNT(*) AS c FROM (SELECT unnest(tokens) AS token FROM examples) GROUP BY token), total
+            WHERE c >= {SUPPORT} * n),
+        reduced AS (SELECT given, list_sort(list_intersect(e.tokens, f.tokens)) AS held FROM examples e, frequent f),
+        combos AS (
+            SELECT given, list_filter(held, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS combo
+            FROM (SELECT given, held, unnest(range(1, 1 << CAST(len(held) AS INT))) AS mask FROM reduced)),
+        counted AS (SELECT combo, COUNT(*) AS whole, COUNT(*) FILTER (given = 'allow') AS allow, COUNT(*) FILTER (given = 'block') AS block FROM combos GROUP BY combo),
+        mined AS (
+            SELECT combo, verdict, CAST(good AS DOUBLE) / whole AS confidence, CAST(good AS DOUBLE) / n AS support
+            FROM (SELECT combo, whole, 'allow' AS verdict, allow AS good FROM counted UNION ALL SELECT combo, whole, 'block', block FROM counted), total
+            WHERE good >= {SUPPORT} * n AND CAST(good AS DOUBLE) / whole >= {CONFIDENCE}),
+        parts AS (
+            SELECT combo, verdict, confidence, list_filter(combo, lambda x, j: j <> i) AS part
+            FROM (SELECT *, unnest(range(1, len(combo) + 1)) AS i FROM mined WHERE len(combo) > 1)),
+        kept AS (
+            SELECT * FROM mined WHERE (combo, verdict) NOT IN (
+                SELECT (p.combo, p.verdict) FROM parts p JOIN mined m ON m.combo = p.part AND m.verdict = p.verdict AND m.confidence >= p.confidence)),
+        best AS (
+            SELECT page_id, arg_max(verdict, (confidence, support, len(combo), verdict, combo)) AS mined_verdict, MAX(confidence) AS confidence
+            FROM urls JOIN kept ON given IS NULL AND list_has_all(tokens, combo) GROUP BY page_id)
+        SELECT page_id, host, path, rule, COALESCE(given, mined_verdict, 'allow') AS verdict, confidence FROM urls LEFT JOIN best USING (page_id)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_secret_scan": _secrets(),
     "op3_warc": WARC,
     "op6_top_k": TOP_K,
     "op7_decontaminate": CONTAMINATION,
     "op9_mix": MIX,
+    "op12_importance": IMPORTANCE,
+    "op13_url_filter": _url_filter(),
 }
