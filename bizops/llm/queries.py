@@ -31,11 +31,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    scratch = Scratch(spark, "simhash")
-    found = simhash.near_duplicates(table(spark, folder, "documents"), scratch)
-    return scratch.finish(
-        found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-    )
+    with Scratch(spark, "simhash") as scratch:
+        found = simhash.near_duplicates(table(spark, folder, "documents"), scratch)
+        return scratch.finish(
+            found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        )
 
 
 @query
@@ -55,69 +55,69 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
-    scratch = Scratch(spark, "mix")
-    return scratch.finish(mixing.mix(table(spark, folder, "documents"), scratch))
+    with Scratch(spark, "mix") as scratch:
+        return scratch.finish(mixing.mix(table(spark, folder, "documents"), scratch))
 
 
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every document."""
-    scratch = Scratch(spark, "tokens")
-    counted = tokens.token_counts(
-        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), scratch
-    )
-    return scratch.finish(counted.withColumn("over_limit", F.col("n_tokens") > 512))
+    with Scratch(spark, "tokens") as scratch:
+        counted = tokens.token_counts(
+            table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), scratch
+        )
+        return scratch.finish(counted.withColumn("over_limit", F.col("n_tokens") > 512))
 
 
 @query
 def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's token ids, written to shards and read back through the key index."""
-    scratch = Scratch(spark, "token-file")
-    return scratch.finish(tokenfile.encode_and_read(
-        spark, table(spark, folder, "documents"), scratch, public_tokenizers.path("word_bpe_49k.json")
-    ))
+    with Scratch(spark, "token-file") as scratch:
+        return scratch.finish(tokenfile.encode_and_read(
+            spark, table(spark, folder, "documents"), scratch, public_tokenizers.path("word_bpe_49k.json")
+        ))
 
 
 @query
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in every document."""
-    scratch = Scratch(spark, "decontaminate")
-    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch)
-    return scratch.finish(found.select(
-        "doc_id", "n_words", "n_hit", "n_items",
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
-    ))
+    with Scratch(spark, "decontaminate") as scratch:
+        found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch)
+        return scratch.finish(found.select(
+            "doc_id", "n_words", "n_hit", "n_items",
+            F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+        ))
 
 
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page, written to archives and read back from them."""
-    scratch = Scratch(spark, "warc")
-    archives = scratch.path("archives")
-    index = warc.write_archives(table(spark, folder, "pages"), archives, scratch)
-    found = warc.read_records(index, archives, with_payload=False)
-    return scratch.finish(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    with Scratch(spark, "warc") as scratch:
+        archives = scratch.path("archives")
+        index = warc.write_archives(table(spark, folder, "pages"), archives, scratch)
+        found = warc.read_records(index, archives, with_payload=False)
+        return scratch.finish(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 @query
 def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector."""
-    scratch = Scratch(spark, "top-k")
-    vectors = table(spark, folder, "embeddings")
-    return scratch.finish(maxscore.top_k(vectors, vectors.where(maxscore.divisible("vec_id", 100)), scratch))
+    with Scratch(spark, "top-k") as scratch:
+        vectors = table(spark, folder, "embeddings")
+        return scratch.finish(maxscore.top_k(vectors, vectors.where(maxscore.divisible("vec_id", 100)), scratch))
 
 
 @query
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
-    scratch = Scratch(spark, "secrets")
-    found = secretscan.scan(table(spark, folder, "documents"), scratch)
-    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint")
-    listed = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    return scratch.finish(found.select(
-        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-        F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
-    ))
+    with Scratch(spark, "secrets") as scratch:
+        found = secretscan.scan(table(spark, folder, "documents"), scratch)
+        count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint")
+        listed = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+        return scratch.finish(found.select(
+            "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+            F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"),
+        ))
 
 
 def planted(docs: DataFrame) -> DataFrame:

@@ -264,16 +264,22 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     """One row per document: id, ``fp`` (bigint) and ``component_id``, the smallest id reachable
     over links of at most ``radius`` differing bits.
 
-    Null and wordless texts have fingerprint 0 and link like any other.  Repeated rows stay
-    repeated.  Rows with a null id are kept and take the component of their fingerprint (null if
-    only such rows have it and it links to nothing).  Only the id and text columns are read.
+    Ids may be of any type with an order.  Null and wordless texts have fingerprint 0 and link like
+    any other.  Repeated rows stay repeated; rows that share an id but not a text belong each to its
+    own group.  Rows with a null id link like others but give no component its name (null where only
+    such rows are).  Only the id and text columns are read.
     """
-    named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     fps = scratch.table(with_fingerprint(named, "text", shingle), "fingerprints")
-    reps = scratch.table(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "reps")
-    members = connected_components(fingerprint_links(reps, radius), scratch)
-    classes = reps.join(members, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")
+    reps = scratch.table(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    # The nodes are the fingerprints themselves; a component's name is found once it is complete.
+    members = connected_components(fingerprint_links(reps.select("fp", F.col("fp").alias("rep")), radius), scratch)
+    joined = reps.join(members, F.col("fp") == F.col("node"))
+    names = joined.groupBy(F.col("component").alias("_component")).agg(F.min("rep").alias("_name"))
+    linked = joined.join(names, F.col("component") == F.col("_component")).select(
+        F.col("node").alias("_node"), F.col("_name"), F.lit(True).alias("_linked"))
+    classes = reps.join(linked, F.col("fp") == F.col("_node"), "left").select(
+        F.col("fp").alias("_fp"), F.when(F.col("_linked"), F.col("_name")).otherwise(F.col("rep")).alias("component_id")
     )
     return fps.join(classes, F.col("fp") == F.col("_fp"), "left").select(
         F.col("doc_id").alias(id_col), "fp", "component_id"
