@@ -11,14 +11,15 @@ fingerprint and one read, however many documents there are.
 from __future__ import annotations
 
 import io
-import re
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -28,8 +29,9 @@ from bizops.llm.scratch import Scratch, spread, storage, write_once
 from bizops.llm.tokens import load_tokenizer
 
 BUCKET_KEYS = 4096  # keys of one hash bucket, give or take
-ENCODE_CHARS = 1 << 20  # characters of texts that are encoded together
+ENCODE_BYTES = 4 << 20  # bytes of texts that are encoded together
 CACHE_PIECES = 600_000  # pre-tokens whose ids a worker remembers, give or take
+ORDER_CHARS = 32  # of equal ids, how much of a text orders them
 READ_BYTES = 8 << 20  # what one read of neighbouring documents takes at most
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -101,62 +103,122 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 # Fixed values of the tokenizer: its split of lower-case text, for letters up to Latin-1.
 _LETTERS = "a-zß-öø-ÿ"
-_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+#: What is set apart by spaces: contractions, digits one by one, and runs of other signs.
+_APART = rf"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t\n\x0b\f\r{_LETTERS}0-9]+"
 #: Characters beyond which the split is left to the library, and the beginning of special strings.
-_OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ÿ]|<\\|")
+_OTHER = "[^\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ÿ]|<\\|"
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def cuts_alike(tokenizer) -> bool:
+    """True if the tokenizer drops white space and cuts texts as ``_APART`` and ``_OTHER`` suppose."""
+    told = json.loads(tokenizer.to_str())
+    before = told.get("pre_tokenizer") or {}
+    steps = before.get("pretokenizers", [])
+    model = told["model"]
+    return (
+        told.get("normalizer") == _NORMALIZER and len(steps) == 2
+        and steps[0] == {"type": "Split", "pattern": _SPLIT, "behavior": "Removed", "invert": True}
+        and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex", True)
+        and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+        and told.get("truncation") is None and told.get("padding") is None
+        and all("<|" in t["content"] for t in told.get("added_tokens", []))
+    )
+
+
+def byte_list(strings: pa.StringArray) -> list[bytes]:
+    """The UTF-8 bytes of all values, none of them null; much faster than ``to_pylist``."""
+    _, at, data = strings.buffers()
+    at = np.frombuffer(at, np.int32)[strings.offset : strings.offset + len(strings) + 1].tolist() if len(strings) else []
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
+class Remembered:
+    """Ids by pre-token; of those seen, the last ``limit`` to two times ``limit`` are remembered."""
+
+    def __init__(self, limit: int, learn: Callable[[list[bytes]], Iterable[tuple[bytes, bytes]]]):
+        self.limit, self.learn = limit, learn
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def look_up(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, texts))
+        lost = {t for t, f in zip(texts, found) if f is None}
+        if lost:
+            self.known.update((t, self.older[t]) for t in lost & self.older.keys())
+            self.known.update(self.learn(sorted(lost - self.older.keys())))
+            found = list(map(self.known.__getitem__, texts))
+        return found
 
 
 class PieceEncoder:
-    """Ids of texts as bytes, remembering the ids of pre-tokens.
+    """Ids of many texts at once, remembering the ids of pre-tokens.
 
-    For the tokenizer that lower-cases, drops white space and splits as ``_CUT`` does; its ids of
-    a text are those of the pre-tokens in turn.  Texts with other letters, special strings or
-    separators that Python and the tokenizer treat differently go to the library whole.  Memory is
-    bounded: of the pre-tokens seen, the last ``limit`` to two times ``limit`` are remembered.
+    A tokenizer that lower-cases, drops white space and splits as ``_APART`` does has as the ids of
+    a text those of its pre-tokens in turn.  Arrow cuts the texts and numbers the pre-tokens, so
+    Python sees each of them once per call.  Texts with other letters, special strings or separators
+    that Arrow and the tokenizer treat differently, and all texts of any other tokenizer, go to the
+    library whole.
     """
 
     _JOINED = 64  # new pre-tokens handed to the library as one text
 
     def __init__(self, tokenizer_path: str, dtype: str, limit: int = CACHE_PIECES):
-        self.tokenizer, self.dtype, self.limit = load_tokenizer(tokenizer_path), dtype, limit
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.tokenizer, self.dtype = load_tokenizer(tokenizer_path), np.dtype(dtype)
+        self.by_pieces = cuts_alike(self.tokenizer)
+        self.pieces = Remembered(limit, self._learn)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)  # ids that end a pre-token
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _learn(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """The ids of new pre-tokens, many to a text: each ends with the only one of its ids that
         can end one, so they can be told apart; where the numbers disagree, one by one."""
         groups = [pieces[i : i + self._JOINED] for i in range(0, len(pieces), self._JOINED)]
-        for group, ids in zip(groups, self.ids([" ".join(g) for g in groups])):
+        for group, ids in zip(groups, self.ids([b" ".join(g).decode() for g in groups])):
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(group) and cuts[-1] == len(ids):
                 data, at = ids.tobytes(), [0, *(cuts * ids.itemsize).tolist()]
                 yield from zip(group, (data[a:b] for a, b in zip(at, at[1:])))
             else:
-                yield from zip(group, (x.tobytes() for x in self.ids(group)))
-
-    def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of several texts; their new pre-tokens are looked up together."""
-        if len(self.known) > self.limit:
-            self.known, self.older = {}, self.known
-        pieces = [None if _OTHER.search(t) else _CUT.findall(t.lower()) for t in texts]
-        found = [None if p is None else list(map(self.known.get, p)) for p in pieces]
-        some = [i for i, f in enumerate(found) if f is not None and None in f]
-        if some:
-            lost = set().union(*(pieces[i] for i in some)).difference(self.known)
-            self.known.update((w, self.older[w]) for w in lost.intersection(self.older))
-            self.known.update(self._learn(sorted(lost.difference(self.older))))
-            for i in some:
-                found[i] = map(self.known.__getitem__, pieces[i])
-        return [self.ids([t])[0].tobytes() if f is None else b"".join(f) for t, f in zip(texts, found)]
+                yield from zip(group, (x.tobytes() for x in self.ids([p.decode() for p in group])))
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        apart = pc.replace_substring_regex(pc.utf8_lower(texts), _APART, r" \0 ")
+        lists = pc.ascii_split_whitespace(apart)
+        coded = lists.flatten().dictionary_encode()
+        spelled = self.pieces.look_up(byte_list(coded.dictionary))
+        size = np.fromiter(map(len, spelled), np.int64, len(spelled)) // self.dtype.itemsize
+        begin, pool = np.cumsum(size) - size, np.frombuffer(b"".join(spelled), self.dtype)
+        piece = coded.indices.to_numpy(zero_copy_only=False)
+        many = size[piece]
+        upto = np.cumsum(many)
+        ids = pool[np.repeat(begin[piece] - (upto - many), many) + np.arange(upto[-1] if len(upto) else 0)]
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return ids, np.diff(np.r_[0, np.r_[0, upto][ends]])
+
+    def encode_many(self, texts: pa.Array | Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        column = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        if self.by_pieces:
+            other = pc.match_substring_regex(column, _OTHER).to_numpy(zero_copy_only=False)
+            if not other.any():
+                return self._by_pieces(column)
+        else:
+            other = np.ones(len(column), bool)
+        whole = iter(self.ids(column.filter(pa.array(other)).to_pylist()))
+        ids, many = self._by_pieces(column.filter(pa.array(~other)))
+        rest = iter(np.split(ids, np.cumsum(many)[:-1]))
+        parts = [next(whole if o else rest) for o in other]
+        return np.concatenate([ids[:0], *parts]), np.array([len(p) for p in parts], np.int64)
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
@@ -170,41 +232,38 @@ def encoder_for(tokenizer_path: str, dtype: str) -> PieceEncoder:
     return _ENCODERS[key]
 
 
-def by_size(texts: list[str], chars: int) -> Iterator[slice]:
-    """Slices of neighbouring texts of about so many characters, one text at least."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > chars:
-            yield slice(first, i)
-            first, size = i, 0
-        size += len(t)
-    if texts:
-        yield slice(first, len(texts))
+def by_size(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of neighbouring texts of about so many bytes, one text at least."""
+    upto, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + most, side="right")))
+        yield slice(first, last)
+        first = last
 
 
 def _write_shards(folder: str, tokenizer_path: str, dtype: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = encoder_for(tokenizer_path, dtype), TaskContext.get().partitionId()
-        end, width = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
-        rows: list[tuple] = []
+        rows: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def payload(out) -> None:
             at = 0
             for batch in batches:
-                keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-                for some in by_size(texts, ENCODE_CHARS):
-                    for key, data in zip(keys[some], encoder.encode_many(texts[some])):
-                        out.write(data)
-                        out.write(end)
-                        n = len(data) // width + 1
-                        rows.append((key, at, n))
-                        at += n
+                keys, texts = batch.column(0), batch.column(1)
+                sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+                for some in by_size(sizes, ENCODE_BYTES):
+                    ids, many = encoder.encode_many(texts[some])
+                    out.write(np.insert(ids, np.cumsum(many), end_id).tobytes())
+                    many = many + 1
+                    begin = at + np.cumsum(many) - many
+                    rows.append((keys[some], begin, many))
+                    at += int(many.sum())
 
         name = write_once(f"{folder}/shards", f"{shard:06d}", payload)
-        for i in range(0, len(rows), 10_000):
-            key, at, n = zip(*rows[i : i + 10_000])
+        for key, at, n in rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array([shard] * len(key), pa.int32()), pa.array([name] * len(key)),
+                [key, pa.array([shard] * len(key), pa.int32()), pa.array([name] * len(key)),
                  pa.array(at, pa.int64()), pa.array(n, pa.int64())],
                 names=["key", "shard", "file", "at", "n"],
             )
@@ -218,7 +277,8 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 
 def _write_index(folder: str):
-    """Rows of whole buckets, sorted by (bucket, key, shard, at), in; one row per bucket out."""
+    """Rows of whole cells (a bucket, or a shard's part of an id with very many rows), sorted by
+    (cell, key, shard, at), in; one row per cell out."""
 
     def pack(rows: pd.DataFrame) -> bytes:
         keys, first = np.unique(rows["key"].fillna(0).to_numpy(np.int64), return_index=True)
@@ -237,16 +297,16 @@ def _write_index(folder: str):
 
         def payload(out) -> None:
             pos = 0
-            for bucket, rows in whole_groups(frames, "bucket"):
+            for cell, rows in whole_groups(frames, "cell"):
                 data = pack(rows)
                 out.write(data)
-                made.append((bucket, pos, len(data)))
+                made.append((cell, pos, len(data)))
                 pos += len(data)
 
         name = write_once(f"{folder}/index", f"{TaskContext.get().partitionId():06d}", payload)
         if made:
-            bucket, pos, size = zip(*made)
-            yield pd.DataFrame({"bucket": bucket, "file": name, "pos": pos, "size": size})
+            cell, pos, size = zip(*made)
+            yield pd.DataFrame({"cell": cell, "file": name, "pos": pos, "size": size})
 
     return run
 
@@ -272,7 +332,7 @@ class TokenDataset:
     dtype: str
     buckets: int
     shards: DataFrame  # shard, file, base (ids in all shards before it), ids, docs
-    index: DataFrame  # bucket, file, pos, size
+    index: DataFrame  # bucket, cell, file, pos, size
 
 
 def write_dataset(docs: DataFrame, folder: str, tokenizer_path: str, scratch: Scratch, id_col: str = "doc_id",
@@ -281,29 +341,39 @@ def write_dataset(docs: DataFrame, folder: str, tokenizer_path: str, scratch: Sc
     """Encode every whole text, append ``end_id``, and write ids and index below ``folder``.
 
     Documents are dealt out by ranges of their id, so shards follow each other in ascending id
-    order, null ids first; equal ids stand in order of their texts.  Null texts are empty: only
-    the end id.  Every attempt of a task writes files of its own, and the tables name those of
+    order, null ids first.  Equal ids stand in order of the first ``ORDER_CHARS`` characters of their
+    texts, then of a hash of the whole text, then as they were read, and these take part in the
+    ranges: an id that holds a third of all rows fills as many shards as its texts need.  Null texts
+    are empty: only the end id.  Every attempt of a task writes files of its own, and the tables name those of
     the attempts that succeeded.  An empty table gives empty tables.
     """
     spark = docs.sparkSession
     size = vocabulary or load_tokenizer(tokenizer_path).get_vocab_size()
     dtype = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
     named = docs.select(F.col(id_col).cast("bigint").alias("_key"), F.col(text).cast("string").alias("_text"))
-    ordered = named.repartitionByRange(
-        shards or int(spark.conf.get("spark.sql.shuffle.partitions")), "_key"
-    ).sortWithinPartitions("_key", "_text")
+    order = [F.col("_key"), F.substring("_text", 1, ORDER_CHARS), F.xxhash64("_text"), F.col("_row")]
+    ordered = named.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(
+        shards or int(spark.conf.get("spark.sql.shuffle.partitions")), *order
+    ).sortWithinPartitions(*order)
     entries = scratch.table(
-        ordered.mapInArrow(_write_shards(folder, tokenizer_path, dtype, end_id),
+        ordered.select("_key", "_text").mapInArrow(_write_shards(folder, tokenizer_path, dtype, end_id),
                            "key bigint, shard int, file string, at bigint, n bigint"), "entries")
     # One row per shard: the running sum is over the files of the dataset, not its documents.
     totals = entries.groupBy("shard", "file").agg(F.sum("n").alias("ids"), F.count(F.lit(1)).alias("docs"))
     base = F.coalesce(F.sum("ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     shard_table = scratch.table(totals.withColumn("base", base), "shards")
     buckets = max(1, -(-(shard_table.agg(F.sum("docs")).first()[0] or 0) // bucket_keys))
+    # An id with more rows than a bucket should hold is indexed once per shard that holds it.
+    many = entries.groupBy(F.coalesce("key", F.lit(0)).alias("_same"), F.col("key").isNull().alias("_null")).agg(
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket_keys).drop("_n")
+    same = (F.coalesce("key", F.lit(0)) == F.col("_same")) & (F.col("key").isNull() == F.col("_null"))
+    part = F.when(F.col("_same").isNotNull(), F.col("shard") + 1).otherwise(0)
+    cell = bucket_of(F.col("key"), buckets).cast("bigint") * F.lit(1 << 32) + part
     index = scratch.table(
-        entries.select(bucket_of(F.col("key"), buckets).alias("bucket"), "key", "shard", "at", "n")
-        .repartition("bucket").sortWithinPartitions("bucket", "key", "shard", "at")
-        .mapInPandas(_write_index(folder), "bucket int, file string, pos bigint, size bigint"), "index")
+        entries.join(many, same, "left").select(cell.alias("cell"), "key", "shard", "at", "n")
+        .repartition("cell").sortWithinPartitions("cell", "key", "shard", "at")
+        .mapInPandas(_write_index(folder), "cell bigint, file string, pos bigint, size bigint")
+        .withColumn("bucket", F.shiftright("cell", 32).cast("int")), "index")
     return TokenDataset(folder, dtype, buckets, shard_table, index)
 
 
@@ -313,7 +383,7 @@ def write_dataset(docs: DataFrame, folder: str, tokenizer_path: str, scratch: Sc
 def _look_up(folder: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, path = storage(f"{folder}/index")
-        for _, rows in whole_groups(frames, "bucket"):
+        for _, rows in whole_groups(frames, "cell"):
             first = rows.iloc[0]
             with fs.open_input_file(f"{path}/{first['file']}") as f:
                 part = np.load(io.BytesIO(f.read_at(int(first["size"]), int(first["pos"]))))
@@ -338,7 +408,7 @@ def look_up(dataset: TokenDataset, keys: DataFrame, id_col: str = "doc_id") -> D
     wanted = keys.select(F.col(id_col).cast("bigint").alias("key")).distinct()
     wanted = wanted.withColumn("bucket", bucket_of(F.col("key"), dataset.buckets))
     return (
-        wanted.join(dataset.index, "bucket").repartition("bucket").sortWithinPartitions("bucket")
+        wanted.join(dataset.index, "bucket").repartition("cell").sortWithinPartitions("cell")
         .mapInPandas(_look_up(dataset.folder), "key bigint, shard int, at bigint, n bigint")
     )
 

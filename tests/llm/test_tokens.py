@@ -32,11 +32,38 @@ def test_cutting_at_white_space_changes_no_token():
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_word_encoder_equals_the_library():
-    encoder, rng = tokenfile.PieceEncoder(LETTERS, "<u2", limit=50), random.Random(2)
-    for _ in range(3000):
-        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+def split(ids, many):
+    return [x.tolist() for x in np.split(ids, np.cumsum(many)[:-1])]
+
+
+@pytest.mark.parametrize("path, by_pieces", [(LETTERS, True), (BYTES, False)])
+def test_encoder_equals_the_library(path, by_pieces):
+    """Many texts at once, with few and with many pre-tokens remembered; another tokenizer goes to the
+    library whole instead of giving ids of its own."""
+    encoder, rng = tokenfile.PieceEncoder(path, "<u2", limit=50), random.Random(2)
+    assert encoder.by_pieces is by_pieces
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + ["Hello World, it's 2024"]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for size in (1, 7, 500):
+        got = [x for i in range(0, len(texts), size) for x in split(*encoder.encode_many(texts[i : i + size]))]
+        assert got == want
+    assert encoder.encode_many([])[0].tolist() == [] and split(*encoder.encode_many([None, "a"]))[0] == []
+
+
+def test_changed_tokenizer_files_are_told_apart(tmp_path):
+    import json
+
+    told = json.loads(tokens.load_tokenizer(LETTERS).to_str())
+    changes = [
+        ("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}),
+        ("added_tokens", told["added_tokens"] + [{**told["added_tokens"][0], "id": 5, "content": "hello", "special": False}]),
+    ]
+    for k, (name, value) in enumerate(changes):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps({**told, name: value}))
+        encoder = tokenfile.PieceEncoder(str(path), "<u2")
+        want = encoder.tokenizer.encode("Say hello", add_special_tokens=False).ids
+        assert not encoder.by_pieces and encoder.encode_many(["Say hello"])[0].tolist() == want
 
 
 def test_token_counts(make_docs, edge_rows, scratch, monkeypatch):
@@ -88,6 +115,25 @@ def test_round_trip(spark, make_docs, edge_rows, scratch, vocabulary):
     assert sorted(r["doc_id"] for r in tokenfile.read_documents(dataset, asked).collect()) == [1, 9, 9]
 
 
+def test_hot_and_missing_ids_spread_over_shards_and_cells(spark, scratch):
+    """A third of the rows without an id, a third with one id: neither fills one shard or one cell."""
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 1 THEN 7 WHEN id % 3 = 2 THEN id END AS doc_id",
+        "CASE WHEN id % 30 = 0 THEN 'same text' ELSE 'text ' || id END AS text").repartition(4)
+    dataset = tokenfile.write_dataset(rows, scratch.path("tokens"), LETTERS, scratch, shards=12, bucket_keys=500)
+    assert max(r["docs"] for r in dataset.shards.collect()) < 9_000
+    cells = dataset.index.groupBy("bucket").count().collect()
+    assert sorted(r["count"] for r in cells)[-2] >= 4 and len({r["cell"] for r in dataset.index.collect()}) == dataset.index.count()
+    got = tokenfile.read_documents(dataset, rows, with_ids=False).collect()
+    assert len(got) == 60_000 and len({r["start"] for r in got}) == 60_000
+    at = 0
+    for r in sorted(got, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    keys = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0)) and keys.count(7) == keys.count(None) == 20_000
+
+
 def test_no_documents(spark, make_docs, scratch):
     assert tokenfile.encode_and_read(spark, make_docs([]), scratch, LETTERS).count() == 0
 
