@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import dbl, percent_even, ratio
+from bizops.operators.grouped import count_bits, grouped_once, id_word
+from bizops.session import cut_lineage
 
 
 def period(col: str = "sale_date") -> Column:
@@ -48,6 +50,11 @@ def monthly_kpis(sales: DataFrame, pct_decimals: int = 1) -> DataFrame:
         F.count_distinct("ticket_id").alias("tickets"),
         F.count_distinct("customer_id").alias("customers"),
     )
+    return monthly_of(per_month, pct_decimals)
+
+
+def monthly_of(per_month: DataFrame, pct_decimals: int = 1) -> DataFrame:
+    """The monthly table from each month's _revenue, _margin, tickets and customers."""
     return (
         with_change(per_month, "_month", "_revenue")
         .select(
@@ -93,11 +100,24 @@ def mom_change(sales: DataFrame) -> DataFrame:
 
 
 def kpis_by(df: DataFrame, dim: str, pct_decimals: int = 1) -> DataFrame:
-    """Revenue, margin, tickets and margin % for any dimension column, largest revenue first."""
-    sums = df.groupBy(dim).agg(
-        F.sum("revenue").alias("_revenue"),
-        F.sum("margin").alias("_margin"),
-        F.count_distinct("ticket_id").alias("tickets"),
+    """Revenue, margin, tickets and margin % for any dimension column, largest revenue first.
+
+    Tickets are counted as words of bits, so lines are combined on the map side.
+    """
+    block, bit = id_word(df, "ticket_id")
+    words = df.groupBy(dim, block.alias("_block")).agg(
+        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin"), F.bit_or(bit).alias("_tickets")
+    )
+    return kpis_of(words, dim, pct_decimals)
+
+
+def kpis_of(words: DataFrame, dim: str, pct_decimals: int = 1) -> DataFrame:
+    """The table of a dimension from sums by its values, or finer ones, and blocks of tickets."""
+    merged = words.groupBy(dim, "_block").agg(
+        F.sum("_revenue").alias("_revenue"), F.sum("_margin").alias("_margin"), F.bit_or("_tickets").alias("_tickets")
+    )
+    sums = merged.groupBy(dim).agg(
+        F.sum("_revenue").alias("_revenue"), F.sum("_margin").alias("_margin"), count_bits("_tickets").alias("tickets")
     )
     return sums.orderBy(F.desc("_revenue"), dim).select(
         dim,
@@ -106,3 +126,30 @@ def kpis_by(df: DataFrame, dim: str, pct_decimals: int = 1) -> DataFrame:
         "tickets",
         F.bround(percent_even("_margin", "_revenue"), pct_decimals).alias("margin_pct"),
     )
+
+
+def report_sums(sales: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
+    """What the commercial report needs, from one pass over the lines: ``months`` (_month, _revenue,
+    _margin, tickets, customers), ``customers`` (last_date, frequency, monetary, margin) and, for each
+    of ``dims``, sums by its values and blocks of tickets."""
+    ticket, ticket_bit = id_word(sales, "ticket_id")
+    buyer, buyer_bit = id_word(sales, "customer_id")
+    rows = sales.withColumns({
+        "_month": F.trunc("sale_date", "month"), "_block": ticket, "_ticket": ticket_bit, "_buyers": buyer, "_buyer": buyer_bit,
+    })
+    sums = grouped_once(
+        rows,
+        {"tickets": ["_month", "_block"], "buyers": ["_month", "_buyers"], "customers": ["customer_id", "_block"]}
+        | {d: [d, "_block"] for d in dims},
+        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin"), F.max("sale_date").alias("_last"),
+        F.bit_or("_ticket").alias("_tickets"), F.bit_or("_buyer").alias("_buyer_bits"),
+    )
+    buyers = sums["buyers"].groupBy(F.col("_month").alias("_of")).agg(count_bits("_buyer_bits").alias("customers"))
+    months = sums["tickets"].groupBy("_month").agg(
+        F.sum("_revenue").alias("_revenue"), F.sum("_margin").alias("_margin"), count_bits("_tickets").alias("tickets"))
+    customers = sums["customers"].where("customer_id IS NOT NULL").groupBy("customer_id").agg(
+        F.max("_last").alias("last_date"), count_bits("_tickets").alias("frequency"),
+        F.sum("_revenue").alias("monetary"), F.sum("_margin").alias("margin"))
+    return {d: sums[d] for d in dims} | {
+        "months": months.join(buyers, F.col("_month").eqNullSafe(F.col("_of"))).drop("_of"), "customers": cut_lineage(customers),
+    }

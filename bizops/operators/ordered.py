@@ -9,7 +9,8 @@ row of totals per partition: those few rows give each partition its starting poi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -87,3 +88,89 @@ def percentiles(df: DataFrame, col: str, points: dict[str, float]) -> DataFrame:
         spread = F.col(f"_{name}_high") - F.col(f"_{name}_low")
         out.append((F.col(f"_{name}_low") + spread * F.col(f"_{name}_part")).alias(name))
     return counted.agg(*found).select(*out)
+
+
+def _rows_at(ordered: DataFrame, ranks: Sequence[int], names: Sequence[str]) -> dict:
+    """The rows of some ranks, as one row of structs."""
+    kept = F.struct(*names, "_key")
+    row = ordered.where(F.col("rank").isin(list(ranks))).agg(*[
+        F.any_value(F.when(F.col("rank") == r, kept), True).alias(f"_{r}") for r in set(ranks)
+    ]).first()
+    return {r: row[f"_{r}"] for r in ranks}
+
+
+class Place(NamedTuple):
+    """The row of a rank: its value and its tie-break key."""
+
+    value: object
+    key: object
+
+
+ACCURACY = 10_000  # the brackets below are off by no more than this part of the rows
+
+
+def at_ranks(
+    df: DataFrame, measures: Mapping[str, Column], key: str, ranks: Callable[[int], Sequence[int]], accuracy: int = ACCURACY
+) -> dict[str, list[Place]]:
+    """For every measure, the rows at some ranks (from 1) of the order (measure, key), null measures
+    first; ``key`` is unique and not null.  ``ranks`` gives the ranks for a number of rows.
+
+    Only cut points are selected, so nothing is sorted whole: approximate percentiles, which merge
+    on the map side, bracket each wanted rank; exact counts below the brackets say which row of a
+    bracket is meant, and only the rows inside brackets - a few thousandths, and values that many
+    rows share - are put in order, all measures at once.  Should a bracket miss its rank, or a rank
+    fall among nulls, that measure is ordered whole.
+    """
+    names = list(measures)
+    rows = df.select(*[measures[m].alias(m) for m in names], F.col(key).alias("_key"))
+    n = rows.count()
+    wanted = list(ranks(n)) if n else []
+    if not wanted:
+        return {m: [] for m in names}
+    share = lambda r, by: min(1.0, max(0.0, r / n + by))
+    points = [[share(r, by) for r in wanted] for by in (-2 / accuracy, 2 / accuracy)]
+    near = rows.agg(*[
+        F.percentile_approx(m, p, accuracy).alias(f"{m}_{side}") for m in names for side, p in zip(("low", "high"), points)
+    ]).first()
+    kinds = {f.name: f.dataType for f in rows.schema}
+    brackets = {
+        (m, i): (F.lit(low).cast(kinds[m]), F.lit(high).cast(kinds[m]))
+        for m in names if near[f"{m}_low"] is not None
+        for i, (low, high) in enumerate(zip(near[f"{m}_low"], near[f"{m}_high"]))
+    }
+    inside = {b: (F.col(b[0]) >= low) & (F.col(b[0]) <= high) for b, (low, high) in brackets.items()}
+    below = {b: F.col(b[0]).isNull() | (F.col(b[0]) < low) for b, (low, _) in brackets.items()}
+    counts = rows.agg(
+        *[F.count_if(c).alias(f"in_{m}_{i}") for (m, i), c in inside.items()],
+        *[F.count_if(c).alias(f"before_{m}_{i}") for (m, i), c in below.items()],
+        F.lit(n).alias("_n"),
+    ).first()
+    slots, whole = [], set()
+    for m in names:
+        for i, r in enumerate(wanted):
+            known = (m, i) in brackets
+            place = r - counts[f"before_{m}_{i}"] if known else 0
+            if known and 1 <= place <= counts[f"in_{m}_{i}"]:
+                slots.append((m, i, place))
+            else:
+                whole.add(m)
+    found: dict[tuple[str, int], Place] = {}
+    # One table of the brackets' rows: each measure has a column of its own, filled in its slots only.
+    slots = [s for s in slots if s[0] not in whole]
+    if slots:
+        start, picks = 0, {}
+        for number, (m, i, place) in enumerate(slots):
+            picks[start + place] = (m, i)
+            start += counts[f"in_{m}_{i}"]
+        copies = F.array(*[
+            F.when(inside[m, i], F.struct(
+                F.lit(number).alias("slot"), *[(F.col(o) if o == m else F.lit(None).cast(kinds[o])).alias(o) for o in names]
+            )) for number, (m, i, _) in enumerate(slots)
+        ])
+        some = rows.select("_key", F.explode(F.array_compact(copies)).alias("_c")).select("_key", "_c.*")
+        placed = _rows_at(with_order(some, ["slot", *names, "_key"]), list(picks), names)
+        found = {(m, i): Place(placed[r][m], placed[r]["_key"]) for r, (m, i) in picks.items()}
+    for m in whole:
+        placed = _rows_at(with_order(rows.select(m, "_key"), [m, "_key"]), wanted, [m])
+        found |= {(m, i): Place(placed[r][m], placed[r]["_key"]) for i, r in enumerate(wanted)}
+    return {m: [found[m, i] for i in range(len(wanted))] for m in names}

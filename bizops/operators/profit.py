@@ -7,10 +7,11 @@ cost, margin``; each operator reads only the columns it needs.  Facts are aggreg
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
+from bizops.operators.grouped import count_bits, grouped_once, id_word
 from bizops.operators.ordered import percentiles
 from bizops.session import cut_lineage
 
@@ -111,18 +112,6 @@ def margin_pct(sales: DataFrame, dim: str) -> DataFrame:
     )
 
 
-def product_months(sales: DataFrame) -> DataFrame:
-    """Lines summed by product and month, for the product operators: units, revenue, discounts.
-
-    ``sale_date`` is the first of the month, so only whole months can be told apart.
-    """
-    month = F.trunc("sale_date", "month").cast("date").alias("sale_date")
-    return sales.groupBy("product_id", month).agg(
-        F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"),
-        F.sum("discount").alias("discount"), F.count("discount").alias("discounted_lines"),
-    )
-
-
 def _by_product(sales: DataFrame, products: DataFrame, *aggs) -> DataFrame:
     """Per-product sums joined to the product, with ``_margin`` filled in.
 
@@ -178,6 +167,12 @@ def slow_movers(
         sum_where(recent, "qty").alias("units_recent"),
         F.count_distinct(F.trunc("sale_date", "month")).alias("months_sold"),
     )
+    return slowest(rhythm, products, months, cover_months, limit)
+
+
+def slowest(rhythm: DataFrame, products: DataFrame, months: int = 6, cover_months: int = 3, limit: int = 8) -> DataFrame:
+    """The products with the fewest units of ``rhythm``: units_total, units_recent and months_sold
+    per product."""
     monthly = dbl("units_recent") / float(months)
     return (
         products.join(rhythm, "product_id")
@@ -199,22 +194,31 @@ def slow_movers(
 
 def customer_activity(sales: DataFrame, base: tuple[str, str], following: tuple[str, str]) -> DataFrame:
     """Per customer: bought in the base period, bought in the following one, base-period margin."""
+    known = sales.where(F.col("customer_id").isNotNull() & (within(base) | within(following)))
+    return known.groupBy("customer_id").agg(*_activity(base, following))
 
-    def within(period):
-        d = F.col("sale_date")
-        return (d >= F.lit(period[0]).cast("date")) & (d < F.lit(period[1]).cast("date"))
 
-    known = sales.where(F.col("customer_id").isNotNull() & (within(base) | within(following)))
-    return known.groupBy("customer_id").agg(
+def within(period: tuple[str, str]) -> Column:
+    """Sold in the half-open period."""
+    d = F.col("sale_date")
+    return (d >= F.lit(period[0]).cast("date")) & (d < F.lit(period[1]).cast("date"))
+
+
+def _activity(base: tuple[str, str], following: tuple[str, str]) -> list[Column]:
+    return [
         F.max(within(base)).alias("in_base"),
         F.max(within(following)).alias("in_following"),
         sum_where(within(base), "margin").alias("margin_base"),
-    )
+    ]
 
 
 def customer_churn(sales: DataFrame, base: tuple[str, str], following: tuple[str, str]) -> DataFrame:
     """Customers active in the base period and absent in the following one, in one pass."""
-    seen = customer_activity(sales, base, following)
+    return churn_of(customer_activity(sales, base, following))
+
+
+def churn_of(seen: DataFrame) -> DataFrame:
+    """Churn from the activity of each customer."""
     lost = F.col("in_base") & ~F.col("in_following")
     totals = seen.agg(
         count_where(lost).alias("lost_customers"),
@@ -257,10 +261,17 @@ def sales_of_members(sales: DataFrame, members: DataFrame, key: str) -> DataFram
 
 
 def _store_sums(sales: DataFrame, *keys: str) -> DataFrame:
-    return sales.groupBy(*keys).agg(
-        F.count_distinct("ticket_id").alias("tickets"),
-        F.sum("revenue").alias("_revenue"),
-        F.sum("margin").alias("_margin"),
+    """Tickets, revenue and margin by ``keys``; tickets are counted as mergeable words of bits."""
+    block, bit = id_word(sales, "ticket_id")
+    words = sales.groupBy(*keys, block.alias("_block")).agg(
+        F.bit_or(bit).alias("_tickets"), F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
+    )
+    return _ticket_average(words, *keys)
+
+
+def _ticket_average(words: DataFrame, *keys: str) -> DataFrame:
+    return words.groupBy(*keys).agg(
+        count_bits("_tickets").alias("tickets"), F.sum("_revenue").alias("_revenue"), F.sum("_margin").alias("_margin")
     ).withColumn("avg_ticket", F.round(ratio("_revenue", "tickets"), 2))
 
 
@@ -292,12 +303,16 @@ def store_ticket(sales: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def store_gap(sales: DataFrame, stores: DataFrame, months: int, capture: float = 0.5) -> DataFrame:
+def store_gap(sales: DataFrame, stores: DataFrame, months: int | Column, capture: float = 0.5) -> DataFrame:
     """Gap of each store's average ticket to the network median and the gain from closing part of it.
 
     ``gain`` covers the whole period of ``sales`` (``months`` long), ``gain_per_year`` a year of it.
     """
-    per_store = cut_lineage(_store_sums(sales, "store_id"))
+    return gaps_of(cut_lineage(_store_sums(sales, "store_id")), stores, months, capture)
+
+
+def gaps_of(per_store: DataFrame, stores: DataFrame, months: int | Column, capture: float = 0.5) -> DataFrame:
+    """Gaps from the sums of each store."""
     middle = percentiles(per_store, "avg_ticket", {"median": 0.5})
     share = per_store.agg(ratio(F.sum("_margin"), F.sum("_revenue")).alias("share"))
     placed = per_store.join(stores, "store_id").withColumns({"_median": middle.scalar(), "_share": share.scalar()})
@@ -333,3 +348,31 @@ def store_gap_trend(sales: DataFrame) -> DataFrame:
         F.round(gap, GAP_DECIMALS).alias("gap"),
         percent(gap, "median_ticket").alias("gap_pct"),
     ).orderBy("month", "store_id")
+
+
+def finding_sums(
+    sales: DataFrame, base: tuple[str, str], following: tuple[str, str], recent: tuple[str, str]
+) -> dict[str, DataFrame]:
+    """What the findings need, from one pass over the lines: ``products`` (sums, units of the recent
+    months), ``customers`` (activity), ``stores`` (tickets and sums) and ``months`` (one row each).
+
+    Lines are grouped by product, by customer, by store and block of tickets, and by month at once.
+    """
+    block, bit = id_word(sales, "ticket_id")
+    rows = sales.withColumns({"_block": block, "_bit": bit, "_month": F.trunc("sale_date", "month")})
+    sums = grouped_once(
+        rows,
+        {"products": ["product_id"], "customers": ["customer_id"], "stores": ["store_id", "_block"], "months": ["_month"]},
+        F.sum("qty").alias("qty"), sum_where(within(recent), "qty").alias("units_recent"),
+        F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"),
+        F.sum("discount").alias("discount"), F.count("discount").alias("discounted_lines"),
+        F.bit_or("_bit").alias("_tickets"), *_activity(base, following),
+    )
+    renamed = sums["stores"].withColumnsRenamed({"revenue": "_revenue", "margin": "_margin"})
+    active = sums["customers"].where(F.col("customer_id").isNotNull() & (F.col("in_base") | F.col("in_following")))
+    return {
+        "products": sums["products"].select("product_id", "qty", "units_recent", "revenue", "margin", "discount", "discounted_lines"),
+        "customers": active.select("customer_id", "in_base", "in_following", "margin_base"),
+        "stores": _ticket_average(renamed, "store_id"),
+        "months": sums["months"].where("_month IS NOT NULL").select(F.col("_month").alias("month")),
+    }

@@ -46,24 +46,52 @@ def quality_report(
 ) -> DataFrame:
     """Failing rows per rule: null ids, repeated rows, unknown customers, revenue that does not add up.
 
-    The tolerance is ``atol`` plus ``rtol`` of the stored revenue.  The fact is read once: equal
-    rows are counted, and the counts are kept per customer.
+    The tolerance is ``atol`` plus ``rtol`` of the stored revenue.  The fact is read once and never
+    shuffled whole: its lines are counted by customer and by a 128-bit hash of the row, and what is
+    kept are the customers' counts and the hashes that come more than once.  Only if there are such
+    hashes, their lines are read again and compared as whole rows.
     """
     off = F.abs(F.round(F.col("unit_price") * F.col("qty"), 2) - F.col("revenue"))
     allowed = F.lit(atol) + F.lit(rtol) * F.abs("revenue")
-    counted = sales.groupBy(*sales.columns).agg(F.count(F.lit(1)).alias("_n"))
-    per_customer = cut_lineage(counted.groupBy("customer_id").agg(
-        sum_where(F.col(id_col).isNull(), "_n").alias("null_ids"),
-        sum_where(off > allowed, "_n").alias("revenue_mismatch"),
-        F.sum(F.col("_n") - 1).alias("duplicate_rows"),
-        F.sum("_n").alias("_rows"),
-    ))
-    rules = ["null_ids", "revenue_mismatch", "duplicate_rows"]
-    found = per_customer.agg(*[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in rules])
+    hashed = _with_hash(sales)
+    narrow = hashed.select(
+        "customer_id", *_HASH, F.col(id_col).isNull().cast("int").alias("_null"), F.coalesce((off > allowed).cast("int"), F.lit(0)).alias("_off")
+    )
+    keys = ["customer_id", *_HASH]
+    counted = cut_lineage(
+        narrow.groupingSets([["customer_id"], list(_HASH)], *keys)
+        .agg(F.grouping("customer_id").alias("_by_hash"), F.count(F.lit(1)).alias("_rows"),
+             F.sum("_null").alias("null_ids"), F.sum("_off").alias("revenue_mismatch"))
+        .where("_by_hash = 0 OR _rows > 1")
+    )
+    per_customer = counted.where("_by_hash = 0")
+    found = per_customer.agg(*[F.coalesce(F.sum(r), F.lit(0)).alias(r) for r in ("null_ids", "revenue_mismatch")])
     orphans = per_customer.join(customers.select("customer_id").distinct(), "customer_id", "left_anti").agg(
-        F.lit("orphan_customers").alias("rule"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("failing_rows")
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("failing_rows")
     )
-    return found.unpivot([], rules, "rule", "failing_rows").unionByName(orphans)
+    return (
+        found.unpivot([], ["null_ids", "revenue_mismatch"], "rule", "failing_rows")
+        .unionByName(_repeated_rows(hashed, counted.where("_by_hash = 1").select(*_HASH)).withColumn("rule", F.lit("duplicate_rows")))
+        .unionByName(orphans.withColumn("rule", F.lit("orphan_customers")))
+    )
+
+
+_HASH = ("_h1", "_h2")
+
+
+def _with_hash(df: DataFrame) -> DataFrame:
+    """Adds two 64-bit hashes of the whole row; where the nulls are is part of them."""
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in df.columns])
+    return df.withColumns({"_h1": F.xxhash64(nulls, *df.columns), "_h2": F.xxhash64(F.lit("second"), *reversed(df.columns), nulls)})
+
+
+def _repeated_rows(hashed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows beyond the first of every group of equal rows, among those with a repeated hash."""
+    if repeated.isEmpty():
+        return hashed.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("failing_rows"))
+    suspects = hashed.join(repeated, list(_HASH), "left_semi").drop(*_HASH)
+    equal = suspects.groupBy(*suspects.columns).agg((F.count(F.lit(1)) - 1).alias("_n"))
+    return equal.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows"))
 
 
 def rolled_totals(sales: DataFrame, dim: str) -> tuple[DataFrame, DataFrame]:

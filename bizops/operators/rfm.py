@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bizops.functions import rules
 from bizops.functions.numeric import dbl, ratio
-from bizops.operators.ordered import with_order
+from bizops.operators.ordered import at_ranks
 from bizops.session import cut_lineage
 
 # Fixed values of the impact estimate.
@@ -30,25 +30,34 @@ def rfm_base(sales: DataFrame) -> DataFrame:
     )
 
 
+def quintile_ends(n: int) -> list[int]:
+    """The last rank of each of the first four quintiles of ``n`` rows."""
+    return [max(1, q * (n - 1) // 5 + 1) for q in range(1, 5)]
+
+
 def rfm_scores(sales: DataFrame) -> DataFrame:
     """Quintile scores and segment of every customer.
 
-    Equal values are ranked by customer id.  The customers are made once; for each measure only
-    (value, customer) is sorted, of which no more is kept than the last pair of every quintile.
-    Those few pairs, as one row, then place all customers in one projection.
+    Equal values are ranked by customer id.  The customers are made once; their four quintile ends
+    of each measure are selected without sorting the customers, and place all of them in one
+    projection.
     """
-    base = cut_lineage(rfm_base(sales))
+    return scores_of(cut_lineage(rfm_base(sales)))
+
+
+def scores_of(base: DataFrame) -> DataFrame:
+    """Scores from one row per customer: last_date, frequency, monetary, margin."""
     measures = {"r": -F.unix_date("last_date"), "f": F.col("frequency"), "m": F.col("monetary")}
-    place = lambda measure: F.struct(measure.alias("v"), F.col("customer_id"))
+    ends = at_ranks(base, measures, "customer_id", quintile_ends)
+    kinds = {f.name: f.dataType for f in base.select("customer_id", *[c.alias(k) for k, c in measures.items()]).schema}
     scored = base
     for score, measure in measures.items():
-        ranked = with_order(base.select(measure.alias("v"), "customer_id"), ["v", "customer_id"])
-        bin_ = rules.quintile(F.col("rank"), F.col("total_rows"))
-        last = [F.max(F.when(bin_ <= k, F.struct("v", "customer_id"))).alias(f"q{k}") for k in range(1, 5)]
-        scored = scored.withColumn(f"_{score}", ranked.agg(F.struct(*last).alias("edges")).scalar())
-    for score, measure in measures.items():
-        above = [(place(measure) > F.col(f"_{score}.q{k}")).cast("int") for k in range(1, 5)]
-        bin_ = F.lit(1) + reduce(Column.__add__, above)
+        place = F.struct(measure.alias("v"), F.col("customer_id"))
+        above = [
+            (place > F.struct(F.lit(e.value).cast(kinds[score]).alias("v"), F.lit(e.key).cast(kinds["customer_id"]).alias("customer_id"))).cast("int")
+            for e in ends[score]
+        ]
+        bin_ = reduce(Column.__add__, above, F.lit(1))
         scored = scored.withColumn(score, (6 - bin_ if score == "r" else bin_).cast("int"))
 
     reference = F.date_add(base.agg(F.max("last_date").alias("d")).scalar(), 1)

@@ -417,7 +417,7 @@ def clean_extract_parts(s: Star):
         F.when(large, F.lit("n/a")).otherwise(F.col("p_retailprice").cast("string")).alias("Price"),
         F.col("p_size").cast("string").alias("Size"),
     )
-    publish.publish(cells, path, "csv")
+    cells.write.option("header", True).csv(path)
     sheet = read_sheet(s.spark, path)
     return clean_extract(sheet, "Code", "Category", VALID_CATEGORIES, ["Price", "Size"]).select(
         F.col("Code").alias("product_id"), F.col("Category").alias("category"),
@@ -510,17 +510,19 @@ def impact_churn(s: Star):
 
 @query("rank int, finding string, impact double, share double, cumulative_share double, total double")
 def findings_ranked(s: Star):
-    """Product findings share one table of months per product; the others read what they need."""
-    monthly = cut_lineage(profit.product_months(s.sales("product_id", "sale_date", "qty", "discount", "revenue")))
-    months = kpi.months_covered(monthly).scalar()
-    negative = profit.negative_margin_products(monthly, s.products())
-    gaps = profit.store_gap(s.sales("store_id", "ticket_id", "revenue", "margin"), s.stores(), months)
+    """All findings come from one pass over the joined lines."""
+    sales = s.sales("product_id", "customer_id", "store_id", "ticket_id", "sale_date", "qty", "discount", "revenue", "margin")
+    sums = profit.finding_sums(sales, BASE, NEXT, RECENT)
+    months = sums["months"].agg(F.count(F.lit(1)).alias("months")).scalar()
+    negative = profit.negative_margin_products(sums["products"], s.products())
+    rhythm = sums["products"].select("product_id", F.col("qty").alias("units_total"), "units_recent", F.lit(None).alias("months_sold"))
+    gaps = profit.gaps_of(sums["stores"], s.stores(), months)
     ranked = impact.findings_ranked(
         {
             "negative_margin": impact.impact_negative_margin(negative, months),
-            "churn": impact.impact_churn(profit.customer_churn(_customer_sales(s), BASE, NEXT)),
+            "churn": impact.impact_churn(profit.churn_of(sums["customers"])),
             "store_gap": impact.impact_store_gap(gaps),
-            "slow_movers": impact.impact_slow_movers(profit.slow_movers(monthly, s.products(), *RECENT)),
+            "slow_movers": impact.impact_slow_movers(profit.slowest(rhythm, s.products())),
         }
     )
     return _six_places(ranked, "share", "cumulative_share", "total")
@@ -565,10 +567,10 @@ def orphan_keys(s: Star):
 
 @query("rule string, failing_rows bigint")
 def quality_report(s: Star):
-    """The rules on the lines as they are; a unit price is the line's price in whole cents, so
-    price times quantity misses the revenue by up to a cent a piece."""
+    """The rules on the lines as they are, those without an order included; a unit price is the
+    line's price in whole cents, so price times quantity misses the revenue by up to a cent a piece."""
     cents = F.call_function("div", hundredths("l_extendedprice"), whole("l_quantity"))
-    sales = s.table("lineitem").join(s.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    sales = s.table("lineitem").join(s.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
         F.col("l_orderkey").alias("ticket_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("o_custkey").alias("customer_id"),
@@ -588,8 +590,9 @@ def control_totals(s: Star):
 
 @query("check string, rows bigint")
 def date_range_check(s: Star):
-    """The fact is joined once and reduced to its dates and distinct keys."""
-    sales = s.sales("sale_date", "customer_id", "product_id", "store_id")
+    """The fact is joined once, lines without an order included, and reduced to its dates and
+    distinct keys."""
+    sales = s.sales("sale_date", "customer_id", "product_id", "store_id", how="left")
     keys = ["sale_date", "customer_id", "product_id", "store_id"]
     counted = cut_lineage(quality.key_counts(sales, keys))
     used = lambda k: counted.where(F.col("kind") == k).select(F.col("key").alias(k))
@@ -623,7 +626,7 @@ def monthly_snapshot(s: Star):
     for as_of in ("2024-02-20", "2024-03-20"):
         report = downtime.monthly_stoppages(s.stoppages(), "cause")
         publish.snapshot(report.where(F.col("month") <= publish.previous_month(as_of)), path, as_of)
-    return s.spark.read.parquet(path)
+    return publish.read_snapshots(s.spark, path)
 
 
 @query("table string, sku bigint, class string, revenue double, order_quantity bigint, tied_capital double,"
@@ -632,7 +635,7 @@ def published_inventory(s: Star):
     """Write the classification and policy tables and read their contents back."""
     path = scratch_path(s.spark, "inventory")
     publish.publish_inventory(_policy(s), path, "parquet")
-    classes, policy = (s.spark.read.parquet(f"{path}/{t}") for t in ("classification", "policy"))
+    classes, policy = (publish.read_published(s.spark, path, t) for t in ("classification", "policy"))
     return classes.select(
         F.lit("classification").alias("table"), "sku", "class", F.col("revenue_total").cast("double").alias("revenue")
     ).unionByName(
@@ -645,15 +648,16 @@ def published_inventory(s: Star):
 
 @query("report string, entry string, customers bigint, tickets bigint, revenue double, margin double")
 def published_report(s: Star):
-    """Write the five report tables in one go and read their contents back."""
+    """Publish the five report tables, all from one pass over the lines, and read them back."""
     path = scratch_path(s.spark, "report")
-    scores = cut_lineage(_scores(s))
-    by_store = s.sales("store_id", "ticket_id", "revenue", "margin").join(s.stores(), "store_id")
+    sales = s.sales("store_id", "category", "customer_id", "ticket_id", "sale_date", "revenue", "margin")
+    sums = kpi.report_sums(sales, ["store_id", "category"])
+    scores = cut_lineage(rfm.scores_of(sums["customers"]))
     publish.publish_report(
         {
-            "monthly": kpi.monthly_kpis(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin")),
-            "by_store": kpi.kpis_by(by_store, "store_name"),
-            "by_category": kpi.kpis_by(s.sales("category", "ticket_id", "revenue", "margin"), "category"),
+            "monthly": kpi.monthly_of(sums["months"]),
+            "by_store": kpi.kpis_of(sums["store_id"].join(s.stores(), "store_id"), "store_name"),
+            "by_category": kpi.kpis_of(sums["category"], "category"),
             "segments": rfm.rfm_segment_summary(scores),
             "customers": rfm.best_first(scores),
         },
@@ -668,7 +672,7 @@ def published_report(s: Star):
     }
     wanted = {"entry": "string", "customers": "bigint", "tickets": "bigint", "revenue": "double", "margin": "double"}
     parts = [
-        s.spark.read.parquet(f"{path}/{name}").select(
+        publish.read_published(s.spark, path, name).select(
             F.lit(name).alias("report"),
             *[(F.col(found[c]) if c in found else F.lit(None)).cast(kind).alias(c) for c, kind in wanted.items()],
         )

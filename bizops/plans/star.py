@@ -30,11 +30,12 @@ class Star:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def sales(self, *columns: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    def sales(self, *columns: str, start: str | None = None, end: str | None = None, how: str = "inner") -> DataFrame:
         """Sale lines with just ``columns``; a source table is joined only if one of them needs it.
 
         ``start``/``end`` bound the sale date before the join, so the orders scan is pruned and the
-        line join only sees matching orders.
+        line join only sees matching orders.  ``how="left"`` keeps lines without an order, product or
+        supplier, for the checks that look for them.
         """
         lines = self.table("lineitem")
         wanted = set(columns)
@@ -54,7 +55,7 @@ class Star:
                 F.col("o_orderdate").cast("date").alias("sale_date"),
                 F.col("o_custkey").alias("customer_id"),
             )
-            lines = lines.join(in_period(orders, "sale_date", start, end), "l_orderkey")
+            lines = lines.join(in_period(orders, "sale_date", start, end), "l_orderkey", how)
             have |= {"sale_date": F.col("sale_date"), "customer_id": F.col("customer_id")}
         if wanted & {"unit_cost", "cost", "margin", "category", "list_price"}:
             parts = self.table("part").select(
@@ -62,7 +63,7 @@ class Star:
                 hundredths("p_retailprice").alias("_retail"),
                 F.col("p_type").alias("category"),
             )
-            lines = lines.join(parts, "l_partkey")
+            lines = lines.join(parts, "l_partkey", how)
             cost = F.col("_retail") * COST_FACTOR_PCT * qty  # in 1/10,000
             have |= {
                 "category": F.col("category"),
@@ -75,7 +76,7 @@ class Star:
             suppliers = self.table("supplier").select(
                 F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("store_id")
             )
-            lines = lines.join(suppliers, "l_suppkey")
+            lines = lines.join(suppliers, "l_suppkey", how)
             have["store_id"] = F.col("store_id")
         return lines.select(*[have[c].alias(c) for c in columns])
 

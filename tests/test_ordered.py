@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bizops.operators import ordered
 from bizops.operators.ordered import percentiles, with_order
 
 
@@ -81,3 +82,46 @@ def test_percentiles_match_linear_interpolation(spark, n):
     row = percentiles(df, "x", {"p0": 0.0, "p50": 0.5, "p80": 0.8, "p100": 1.0}).first()
     for name, p in (("p0", 0), ("p50", 50), ("p80", 80), ("p100", 100)):
         assert row[name] == pytest.approx(np.percentile(values, p), abs=1e-12)
+
+
+def sorted_places(rows, ranks):
+    whole = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    return [tuple(whole[r - 1]) for r in ranks]
+
+
+@pytest.mark.parametrize("case", ["spread", "tied", "hot", "nulls", "few", "one"])
+def test_ranks_are_selected_exactly(spark, case):
+    rng = random.Random(case)
+    n = {"few": 7, "one": 1}.get(case, 4000)
+    values = {
+        "spread": lambda i: rng.randrange(10**9), "tied": lambda i: rng.randrange(9), "few": lambda i: rng.randrange(5), "one": lambda i: 3,
+        "hot": lambda i: 50 if i % 3 == 0 else rng.randrange(100), "nulls": lambda i: None if i % 4 == 0 else rng.randrange(50),
+    }[case]
+    rows = [(values(i), i) for i in range(n)]
+    money = [(None if v is None else Decimal(v) / 100, k) for v, k in rows]
+    df = spark.createDataFrame([(v, m, k) for (v, k), (m, _) in zip(rows, money)], "v bigint, m decimal(16,2), k bigint").repartition(5)
+    ranks = lambda n: sorted({1, n, *(max(1, q * n // 7) for q in range(1, 7))})
+    got = ordered.at_ranks(df, {"a": F.col("v"), "b": -F.col("v"), "c": F.col("m")}, "k", ranks)
+    down = [(None if v is None else -v, k) for v, k in rows]
+    for name, want in (("a", rows), ("b", down), ("c", money)):
+        assert [tuple(p) for p in got[name]] == sorted_places(want, ranks(n)), name
+
+
+def test_ranks_of_no_rows_and_text_keys(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (0, "z")], "v int, k string")
+    assert ordered.at_ranks(df.where("v > 5"), {"v": F.col("v")}, "k", lambda n: [1]) == {"v": []}
+    assert [tuple(p) for p in ordered.at_ranks(df, {"v": F.col("v")}, "k", lambda n: [1, 2, 3])["v"]] == [(0, "z"), (1, "a"), (1, "b")]
+
+
+def test_only_rows_in_brackets_are_sorted(spark, monkeypatch):
+    seen, real = [], ordered.with_order
+
+    def count(df, *args, **kwargs):
+        seen.append(df.count())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(ordered, "with_order", count)
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("v"), F.col("id").alias("k"))
+    [place] = ordered.at_ranks(df, {"v": F.col("v")}, "k", lambda n: [n // 2])["v"]
+    want = sorted(i * 7919 % 100_003 for i in range(100_000))[49_999]
+    assert place.value == want and len(seen) == 1 and seen[0] < 200

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bizops.operators import abcxyz, downtime
 from bizops.operators.profit import in_period
-from bizops.sources import load, publish
+from bizops.sources import load, manifest, publish
 from bizops.sources.schemas import INVENTORY, PLANT, STAR, UNPLANNED_LABEL
 
 BOM = load.BYTE_ORDER_MARK
@@ -119,16 +119,18 @@ def test_clean_extract(spark):
 def test_publish_report_round_trip(spark, tmp_path, fmt):
     tables = {"one": spark.range(3), "two": spark.range(5)}
     publish.publish_report(tables, str(tmp_path / "r"), fmt)
-    read = spark.read.option("header", True).format(fmt)
-    assert {n: read.load(str(tmp_path / "r" / n)).count() for n in tables} == {"one": 3, "two": 5}
+    read = lambda n: publish.read_published(spark, str(tmp_path / "r"), n, fmt)
+    assert {n: read(n).count() for n in tables} == {"one": 3, "two": 5}
+    assert read("one").columns == ["id"]
 
 
 def test_publish_inventory_writes_both_projections(spark, tmp_path):
     columns = sorted(set(abcxyz.CLASSIFICATION_COLUMNS) | set(abcxyz.POLICY_COLUMNS))
     policy = spark.range(2).select(*[F.lit(1).alias(c) for c in columns], F.lit(2).alias("other"))
     publish.publish_inventory(policy, str(tmp_path), "parquet")
-    assert spark.read.parquet(str(tmp_path / "classification")).columns == abcxyz.CLASSIFICATION_COLUMNS
-    assert spark.read.parquet(str(tmp_path / "policy")).columns == abcxyz.POLICY_COLUMNS
+    read = lambda n: publish.read_published(spark, str(tmp_path), n)
+    assert read("classification").columns == abcxyz.CLASSIFICATION_COLUMNS
+    assert read("policy").columns == abcxyz.POLICY_COLUMNS
     assert len(abcxyz.CLASSIFICATION_COLUMNS) == 10 and len(abcxyz.POLICY_COLUMNS) == 18
 
 
@@ -137,11 +139,52 @@ def test_snapshot_freezes_the_previous_month_and_keeps_the_others(spark, tmp_pat
     assert publish.snapshot(spark.range(3), path, "2024-03-15") == "2024-02"
     assert publish.snapshot(spark.range(5), path, "2024-01-01") == "2023-12"
     assert publish.snapshot(spark.range(4), path, "2024-03-31") == "2024-02"  # replaces only February
-    counts = {r["period"]: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
-    assert {str(k)[:7]: v for k, v in counts.items()} == {"2024-02": 4, "2023-12": 5}
+    counts = lambda *months: {
+        r["period"]: r["count"] for r in publish.read_snapshots(spark, path, *months).groupBy("period").count().collect()}
+    assert counts() == {"2024-02": 4, "2023-12": 5} and counts(["2023-12"]) == {"2023-12": 5}
     publish.snapshot(spark.range(0), path, "2024-03-31")  # an empty report empties its month
-    counts = {r["period"]: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()}
-    assert {str(k)[:7]: v for k, v in counts.items()} == {"2023-12": 5}
+    assert counts() == {"2023-12": 5} and publish.read_snapshots(spark, path).columns == ["id", "period"]
+
+
+def failing(spark):
+    """A table whose write breaks off in its last task, when the others have written their files."""
+    return spark.range(0, 4000, 1, 4).select(F.when(F.col("id") > 3990, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+
+
+def test_a_failed_freeze_keeps_the_month(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    publish.snapshot(spark.range(5), path, "2024-03-15")
+    with pytest.raises(Exception, match="lost"):
+        publish.snapshot(failing(spark), path, "2024-03-15")
+    assert publish.read_snapshots(spark, path).count() == 5
+    publish.snapshot(spark.range(6), path, "2024-03-15")
+    assert publish.read_snapshots(spark, path).count() == 6
+
+
+def test_a_report_changes_in_one_step(spark, tmp_path):
+    """The first table of the second report is complete when its second one fails."""
+    path = str(tmp_path / "r")
+    with pytest.raises(ValueError, match="nothing is published"):
+        publish.read_published(spark, path, "one")
+    publish.publish_report({"one": spark.range(3), "two": spark.range(5)}, path)
+    with pytest.raises(Exception, match="lost"):
+        publish.publish_report({"one": spark.range(30), "two": failing(spark)}, path)
+    read = lambda: [publish.read_published(spark, path, n).count() for n in ("one", "two")]
+    assert read() == [3, 5]
+    # A process killed while it writes the manifest leaves a file that is none.
+    (tmp_path / "r" / "_manifests" / "000000000099.json.tmp").write_text('{"one": "gone"')
+    assert read() == [3, 5]
+
+
+def test_readers_of_the_version_before_are_not_cut_off(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish.publish(spark.range(3), path)
+    before = publish.read_published(spark, path)
+    publish.publish(spark.range(4), path)
+    assert before.count() == 3 and publish.read_published(spark, path).count() == 4
+    for n in (5, 6):
+        publish.publish(spark.range(n), path)
+    assert len(list((tmp_path / "t" / "table").iterdir())) == manifest.KEEP == len(list((tmp_path / "t" / "_manifests").glob("*.json")))
 
 
 def test_saved_star_prunes_months(spark, tmp_path):
