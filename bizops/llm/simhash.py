@@ -278,9 +278,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     names = joined.groupBy(F.col("component").alias("_component")).agg(F.min("rep").alias("_name"))
     linked = joined.join(names, F.col("component") == F.col("_component")).select(
         F.col("node").alias("_node"), F.col("_name"), F.lit(True).alias("_linked"))
-    classes = reps.join(linked, F.col("fp") == F.col("_node"), "left").select(
+    # Written, so that the join with the documents is one of two tables: Spark can then split a
+    # fingerprint that very many documents share, or broadcast the classes if they are few.
+    classes = scratch.table(reps.join(linked, F.col("fp") == F.col("_node"), "left").select(
         F.col("fp").alias("_fp"), F.when(F.col("_linked"), F.col("_name")).otherwise(F.col("rep")).alias("component_id")
-    )
+    ), "classes")
     return fps.join(classes, F.col("fp") == F.col("_fp"), "left").select(
         F.col("doc_id").alias(id_col), "fp", "component_id"
     )
