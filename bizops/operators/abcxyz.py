@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from bizops.functions import rules
 from bizops.functions.numeric import count_where, dbl, not_below_zero, ratio, zero_to_one
@@ -40,13 +41,26 @@ POLICY_COLUMNS = [
 
 
 def demand_stats(demand: DataFrame) -> DataFrame:
-    """Mean, sample deviation, sum and coefficient of variation of monthly demand per SKU."""
-    units = dbl("units")
-    return demand.groupBy("sku").agg(
-        F.avg(units).alias("demand_avg"),
-        F.stddev_samp(units).alias("demand_std"),
-        F.sum("units").alias("demand_sum"),
-    ).withColumn("cv", F.col("demand_std") / zero_to_one("demand_avg"))
+    """Mean, sample deviation, sum and coefficient of variation of monthly demand per SKU.
+
+    Whole units are summed, with their squares, as exact whole numbers and divided once, so the results
+    are the same to the last bit however the rows are dealt out.  Fractional units use doubles.
+    """
+    if not isinstance(demand.schema["units"].dataType, IntegralType):
+        units = dbl("units")
+        moments = demand.groupBy("sku").agg(
+            F.avg(units).alias("demand_avg"), F.stddev_samp(units).alias("demand_std"), F.sum("units").alias("demand_sum"))
+    else:
+        wide = F.col("units").cast("decimal(19,0)")
+        sums = demand.groupBy("sku").agg(
+            F.count("units").alias("_n"), F.sum("units").alias("demand_sum"), F.sum(wide * wide).alias("_squares"))
+        n, total = F.col("_n").cast("decimal(10,0)"), F.col("demand_sum").cast("decimal(19,0)")
+        # n times the sum of squared deviations, still a whole number
+        spread = n * F.col("_squares") - total * total
+        moments = sums.select(
+            "sku", ratio("demand_sum", "_n").alias("demand_avg"),
+            F.sqrt(ratio(spread, F.col("_n") * (F.col("_n") - 1))).alias("demand_std"), "demand_sum")
+    return moments.withColumn("cv", F.col("demand_std") / zero_to_one("demand_avg"))
 
 
 def xyz_classes(stats: DataFrame, x: float = XYZ_X, y: float = XYZ_Y) -> DataFrame:

@@ -153,3 +153,51 @@ def report_sums(sales: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
     return {d: sums[d] for d in dims} | {
         "months": months.join(buyers, F.col("_month").eqNullSafe(F.col("_of"))).drop("_of"), "customers": cut_lineage(customers),
     }
+
+
+def month_states(sales: DataFrame) -> DataFrame:
+    """What the KPIs of a period are made of, by month: month, kind, block, bits, revenue, margin.
+
+    Rows of the kind ``ticket`` hold the sums and the tickets of a block of ids as bits, those of the
+    kind ``customer`` the customers.  States of different lines merge (``kpis_of_states``), so a new
+    month is read once and a year is made of its months' states.
+    """
+    ticket, ticket_bit = id_word(sales, "ticket_id")
+    buyer, buyer_bit = id_word(sales, "customer_id")
+    rows = sales.withColumns({
+        "month": F.date_format("sale_date", "yyyy-MM"), "_t": ticket, "_tb": ticket_bit, "_c": buyer, "_cb": buyer_bit,
+    })
+    sums = grouped_once(
+        rows, {"ticket": ["month", "_t"], "customer": ["month", "_c"]},
+        F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"), F.bit_or("_tb").alias("_tb"), F.bit_or("_cb").alias("_cb"),
+    )
+    money = lambda c, own: (F.col(c) if own else F.lit(None)).cast("decimal(38,4)").alias(c)
+    kinds = [("ticket", "_t", "_tb"), ("customer", "_c", "_cb")]
+    parts = [
+        sums[kind].select("month", F.lit(kind).alias("kind"), F.col(block).cast("string").alias("block"), F.col(bits).alias("bits"),
+                          money("revenue", kind == "ticket"), money("margin", kind == "ticket"))
+        for kind, block, bits in kinds
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def kpis_of_states(states: DataFrame, period: Column, pct_decimals: int = 1) -> DataFrame:
+    """Revenue, margin, tickets, customers, margin % and average ticket of any period of whole months.
+
+    The states may come from several runs: equal blocks of a period are merged, so a ticket or a
+    customer of two months counts once.
+    """
+    merged = states.groupBy(period.alias("period"), "kind", "block").agg(
+        F.bit_or("bits").alias("bits"), F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin"))
+    ids = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bit_count("bits"))), F.lit(0))
+    sums = merged.groupBy("period").agg(
+        F.sum("_revenue").alias("_revenue"), F.sum("_margin").alias("_margin"), ids("ticket").alias("tickets"), ids("customer").alias("customers"))
+    return sums.orderBy("period").select(
+        "period",
+        F.bround(dbl("_revenue"), 0).alias("revenue"),
+        F.bround(dbl("_margin"), 0).alias("margin"),
+        "tickets",
+        "customers",
+        F.bround(percent_even("_margin", "_revenue"), pct_decimals).alias("margin_pct"),
+        F.bround(ratio("_revenue", "tickets"), 0).alias("avg_ticket"),
+    )

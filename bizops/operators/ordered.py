@@ -90,6 +90,31 @@ def percentiles(df: DataFrame, col: str, points: dict[str, float]) -> DataFrame:
     return counted.agg(*found).select(*out)
 
 
+def percentiles_by(df: DataFrame, by: str, col: str, points: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolation percentiles of every group: ``by`` and a column per named point.
+
+    Works on the counts of each (group, value); one distributed running count over all of them
+    places every value inside its group, so a group of any size is spread over the tasks.  Null values
+    are left out, a null group is a group.
+    """
+    histogram = df.where(F.col(col).isNotNull()).groupBy(by, col).agg(F.count(F.lit(1)).alias("_n"))
+    counted = with_order(histogram, [by, col], value="_n").select(
+        F.col(by).alias("_group"), F.col(col).cast("double").alias("_value"), (F.col("running") - F.col("_n")).alias("_first"), "running")
+    groups = counted.groupBy(F.col("_group").alias(by)).agg(F.min("_first").alias("_start"), F.max("running").alias("_end"))
+    placed = counted.join(groups, F.col("_group").eqNullSafe(F.col(by)))
+    found, out = [], []
+    for name, p in points.items():
+        position = F.lit(p) * (F.col("_end") - F.col("_start") - 1)
+        low = F.floor(position)
+        for side, at in (("low", low), ("high", F.ceil(position))):
+            covers = (F.col("_first") <= F.col("_start") + at) & (F.col("_start") + at < F.col("running"))
+            found.append(F.max(F.when(covers, F.col("_value"))).alias(f"_{name}_{side}"))
+        found.append(F.max(position - low).alias(f"_{name}_part"))
+        spread = F.col(f"_{name}_high") - F.col(f"_{name}_low")
+        out.append((F.col(f"_{name}_low") + spread * F.col(f"_{name}_part")).alias(name))
+    return placed.groupBy(by).agg(*found).select(by, *out)
+
+
 def _rows_at(ordered: DataFrame, ranks: Sequence[int], names: Sequence[str]) -> dict:
     """The rows of some ranks, as one row of structs."""
     kept = F.struct(*names, "_key")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
 from bizops.operators.grouped import count_bits, grouped_once, id_word
-from bizops.operators.ordered import percentiles
+from bizops.operators.ordered import percentiles, percentiles_by
 from bizops.session import cut_lineage
 
 # The middle of two averages in cents has a third decimal, so the gap to it is exact at three.
@@ -337,8 +337,7 @@ def store_gap_trend(sales: DataFrame) -> DataFrame:
     per_month = cut_lineage(
         _store_sums(sales.withColumn("month", F.trunc("sale_date", "month")), "month", "store_id")
     )
-    # One value per store and month in each group.
-    medians = per_month.groupBy("month").agg(F.median("avg_ticket").alias("median_ticket"))
+    medians = percentiles_by(per_month, "month", "avg_ticket", {"median_ticket": 0.5})
     gap = F.col("avg_ticket") - F.col("median_ticket")
     return per_month.join(medians, "month").select(
         "month",

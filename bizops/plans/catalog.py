@@ -13,7 +13,8 @@ from bizops.operators import abcxyz, coverage, downtime, impact, kpi, profit, qu
 from bizops.plans.star import SHEET_MONTHS, Star, from_units, hundredths, whole
 from bizops.session import cut_lineage, scratch_path, tune
 from bizops.sources import publish
-from bizops.sources.load import clean_extract, read_sheet
+from bizops.sources.load import clean_extract, load_inventory, load_plant, load_star, read_sheet
+from bizops.sources.schemas import INVENTORY, MACHINE_RATES, PLANT, STAR, UNPLANNED_LABEL
 
 BASE, NEXT = ("1999-01-01", "2000-01-01"), ("2000-01-01", "2001-01-01")
 BOTH = {"start": BASE[0], "end": NEXT[1]}
@@ -179,6 +180,16 @@ def monthly_kpis(s: Star):
     return kpi.monthly_kpis(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin"))
 
 
+@query("period string, revenue double, margin double, tickets bigint, customers bigint, margin_pct double, avg_ticket double")
+def yearly_kpis(s: Star):
+    """The years, merged from monthly states that are kept as a table; the lines are read once for
+    the months and not again for the years."""
+    states = kpi.month_states(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin"))
+    path = scratch_path(s.spark, "states")
+    publish.publish(states, path)
+    return kpi.kpis_of_states(publish.read_published(s.spark, path), F.substring("month", 1, 4))
+
+
 @query("period string, revenue double, previous_revenue double, change_pct double")
 def mom_change(s: Star):
     return kpi.mom_change(s.sales("sale_date", "revenue"))
@@ -235,12 +246,12 @@ def abc_classes(s: Star):
 
 @query("sku bigint, demand_avg double, demand_std double, demand_sum bigint, cv double")
 def demand_stats(s: Star):
-    return _six_places(abcxyz.demand_stats(s.demand()), "demand_std", "cv")
+    return abcxyz.demand_stats(s.demand())
 
 
 @query("sku bigint, cv double, xyz string")
 def xyz_classes(s: Star):
-    return _six_places(abcxyz.xyz_classes(abcxyz.demand_stats(s.demand())), "cv")
+    return abcxyz.xyz_classes(abcxyz.demand_stats(s.demand()))
 
 
 def _classed(s: Star) -> DataFrame:
@@ -252,14 +263,14 @@ def _policy(s: Star) -> DataFrame:
 
 
 def _six_places(df: DataFrame, *columns: str) -> DataFrame:
-    """Deviation-based values differ in the last bits between engines and partitionings."""
+    """Sums of doubles differ in the last bits between engines and partitionings."""
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
 @query("sku bigint, name string, category string, abc string, xyz string, class string, cv double,"
        "revenue_total double, revenue_share double, cumulative_share double")
 def abc_xyz(s: Star):
-    return _six_places(_classed(s), "cv")
+    return _classed(s)
 
 
 @query("abc string, xyz string, skus bigint, revenue double")
@@ -282,7 +293,7 @@ POLICY_SCHEMA = (
 
 @query(POLICY_SCHEMA)
 def inventory_policy(s: Star):
-    return _six_places(_policy(s), "demand_std", "cv")
+    return _policy(s)
 
 
 @query("sku bigint, class string, z_score double, safety_stock bigint, reorder_point bigint,"
@@ -425,6 +436,60 @@ def clean_extract_parts(s: Star):
     )
 
 
+def _as_files(s: Star, tables: dict[str, DataFrame], schema: dict) -> str:
+    """Write tables, whose columns have the operators' names, as the CSV files the readers expect."""
+    folder = scratch_path(s.spark, "files")
+    for name, table in schema.items():
+        cells = [
+            (F.col(own) if own in tables[name].columns else F.lit(None)).cast("string").alias(column)
+            for column, (own, _) in table.columns.items()
+        ]
+        tables[name].select(*cells).write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
+@query("store_id string, store_name string, lines bigint, customers bigint, first_date date, revenue double, margin double, thin_products bigint")
+def loaded_star(s: Star):
+    """Sales, customers, products and stores written as CSV files, read back typed and summed by store."""
+    lines = s.sales("ticket_id", "sale_date", "customer_id", "product_id", "store_id", "qty", "discount", "unit_cost", "revenue", "cost", "margin")
+    products = s.products().select(
+        "product_id", "product_name", "category", "unit_cost", F.col("unit_price").alias("list_price"),
+        (F.col("product_id") % 3 == 0).alias("is_thin_margin"), F.lit(False).alias("is_slow_mover"))
+    folder = _as_files(s, {"ventas": lines, "clientes": s.customers(), "productos": products, "sucursales": s.stores()}, STAR)
+    t = load_star(s.spark, folder, fmt="csv")
+    per = t["sales"].groupBy("store_id", "product_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("sale_date").alias("_d"), F.sum("revenue").alias("_r"), F.sum("margin").alias("_m"))
+    named = per.join(t["customers"].select("customer_id"), "customer_id").join(t["products"].select("product_id", "is_thin_margin"), "product_id")
+    sums = named.groupBy("store_id").agg(
+        F.sum("_n").alias("lines"), F.count_distinct("customer_id").alias("customers"), F.min("_d").alias("first_date"),
+        F.sum("_r").alias("revenue"), F.sum("_m").alias("margin"),
+        F.count_distinct(F.when(F.col("is_thin_margin"), F.col("product_id"))).alias("thin_products"))
+    return sums.join(t["stores"].select("store_id", "store_name"), "store_id")
+
+
+@query("sku string, name string, months bigint, units bigint, first_month date, stock_on_hand int, lead_time_days int")
+def loaded_inventory(s: Star):
+    """Products, monthly demand and stock written as CSV files and read back typed."""
+    demand = s.demand().select("sku", F.date_format("month_start", "yyyy-MM").alias("month"), "units")
+    folder = _as_files(s, {"productos": s.skus(), "demanda_mensual": demand, "inventario_actual": s.stock()}, INVENTORY)
+    t = load_inventory(s.spark, folder)
+    sold = t["demand"].groupBy("sku").agg(
+        F.count(F.lit(1)).alias("months"), F.sum("units").alias("units"), F.min("month_start").alias("first_month"))
+    return t["products"].join(sold, "sku").join(t["stock"], "sku")
+
+
+@query("machine_id bigint, hours double, hourly_cost bigint, rated boolean")
+def loaded_plant(s: Star):
+    """Machines and stoppages written as CSV files, read back with labels, minutes and rates."""
+    names = F.array(*[F.lit(n) for n in [*MACHINE_RATES, "unrated"]])
+    machines = s.machines().withColumn("machine_name", F.element_at(names, (F.col("machine_id") % (len(MACHINE_RATES) + 1) + 1).cast("int")))
+    label = F.when(F.col("stop_type") == downtime.UNPLANNED, UNPLANNED_LABEL).otherwise(F.lit("Programado"))
+    stoppages = s.stoppages().withColumns({"stop_type": label, "hours": F.round(F.col("minutes") / 60, 2)})
+    t = load_plant(s.spark, _as_files(s, {"equipos": machines, "registro_paros": stoppages}, PLANT))
+    hours = downtime.downtime_by_machine(t["stoppages"], t["machines"])
+    return hours.withColumn("rated", F.col("performance").isNotNull())
+
+
 # ---------------------------------------------------------------- downtime
 
 

@@ -5,6 +5,8 @@ Each text stands alone: the views it names come first as common table expression
 
 from __future__ import annotations
 
+from bizops.sources.schemas import MACHINE_RATES
+
 VIEWS = {
     "sales": """
         SELECT l.l_orderkey AS ticket_id, CAST(o.o_orderdate AS DATE) AS sale_date,
@@ -124,10 +126,13 @@ VIEWS = {
                round_even(CAST(SUM(monetary) AS DOUBLE) / COUNT(*), 0) AS monetary_mean
         FROM rfm GROUP BY 1""",
     "stats": """
-        SELECT sku, avg(CAST(units AS DOUBLE)) AS demand_avg, stddev_samp(CAST(units AS DOUBLE)) AS demand_std,
-               SUM(units) AS demand_sum,
-               stddev_samp(CAST(units AS DOUBLE)) / CASE WHEN avg(units) = 0 THEN 1 ELSE avg(CAST(units AS DOUBLE)) END AS cv
-        FROM demand GROUP BY 1""",
+        SELECT sku, demand_avg, demand_std, demand_sum,
+               demand_std / CASE WHEN demand_avg = 0 THEN 1 ELSE demand_avg END AS cv
+        FROM (SELECT sku, CAST(SUM(units) AS DOUBLE) / COUNT(units) AS demand_avg,
+                     sqrt(CAST(COUNT(units) * SUM(CAST(units AS HUGEINT) * CAST(units AS HUGEINT)) - CAST(SUM(units) AS HUGEINT) * CAST(SUM(units) AS HUGEINT) AS DOUBLE)
+                          / nullif(CAST(COUNT(units) * (COUNT(units) - 1) AS DOUBLE), 0)) AS demand_std,
+                     SUM(units) AS demand_sum
+              FROM demand GROUP BY 1)""",
     "abc": """
         SELECT *, CASE WHEN running <= 0.80 * total THEN 'A' WHEN running <= 0.95 * total THEN 'B' ELSE 'C' END AS abc
         FROM (SELECT sku, revenue, SUM(revenue) OVER (ORDER BY revenue DESC, sku ROWS UNBOUNDED PRECEDING) AS running,
@@ -300,6 +305,29 @@ BODIES: dict[str, tuple[str, str]] = {
         FROM (SELECT strftime(sale_date, '%Y-%m') AS period, CAST(SUM(revenue) AS DOUBLE) AS revenue,
                      CAST(SUM(margin) AS DOUBLE) AS margin, COUNT(DISTINCT ticket_id) AS tickets,
                      COUNT(DISTINCT customer_id) AS customers FROM sales GROUP BY 1)"""),
+    "yearly_kpis": ("sales", """
+        SELECT period, round_even(revenue, 0) AS revenue, round_even(margin, 0) AS margin, tickets, customers,
+               round_even(margin / revenue * 100, 1) AS margin_pct, round_even(revenue / tickets, 0) AS avg_ticket
+        FROM (SELECT strftime(sale_date, '%Y') AS period, CAST(SUM(revenue) AS DOUBLE) AS revenue,
+                     CAST(SUM(margin) AS DOUBLE) AS margin, COUNT(DISTINCT ticket_id) AS tickets,
+                     COUNT(DISTINCT customer_id) AS customers FROM sales GROUP BY 1)"""),
+    "loaded_star": ("sales customers products stores", """
+        SELECT CAST(store_id AS VARCHAR) AS store_id, store_name, COUNT(*) AS lines, COUNT(DISTINCT customer_id) AS customers,
+               MIN(sale_date) AS first_date, CAST(SUM(CAST(revenue AS DECIMAL(16,2))) AS DOUBLE) AS revenue,
+               CAST(SUM(CAST(margin AS DECIMAL(16,2))) AS DOUBLE) AS margin,
+               COUNT(DISTINCT CASE WHEN product_id % 3 = 0 THEN product_id END) AS thin_products
+        FROM sales JOIN stores USING (store_id) WHERE customer_id IN (SELECT customer_id FROM customers) GROUP BY 1, 2"""),
+    "loaded_inventory": ("demand products", """
+        SELECT CAST(product_id AS VARCHAR) AS sku, product_name AS name, COUNT(*) AS months, CAST(SUM(units) AS BIGINT) AS units,
+               MIN(month_start) AS first_month, CAST(stock_policy AS INTEGER) AS stock_on_hand, CAST(lead_time_days AS INTEGER) AS lead_time_days
+        FROM demand JOIN products ON product_id = sku GROUP BY 1, 2, 6, 7"""),
+    "loaded_plant": ("stoppages machines", f"""
+        SELECT machine_id, COALESCE(CAST(SUM(minutes_) AS DOUBLE) / 60, 0) AS hours, CAST(hourly_cost AS BIGINT) AS hourly_cost,
+               machine_id % {len(MACHINE_RATES) + 1} <> {len(MACHINE_RATES)} AS rated
+        FROM machines LEFT JOIN (
+            SELECT machine_id, CAST((CAST(minutes * 100 AS BIGINT) + 30) // 60 AS DECIMAL(12,0)) * CAST(0.6 AS DECIMAL(2,1)) AS minutes_
+            FROM stoppages WHERE stop_type = 'unplanned') USING (machine_id)
+        GROUP BY machine_id, hourly_cost"""),
     "mom_change": ("sales", """
         SELECT period, revenue, lag(revenue) OVER (ORDER BY period) AS previous_revenue,
                round_even((revenue / lag(revenue) OVER (ORDER BY period) - 1) * 100, 1) AS change_pct
@@ -334,13 +362,13 @@ BODIES: dict[str, tuple[str, str]] = {
         SELECT sku, CAST(revenue AS DOUBLE) AS revenue, CAST(revenue AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share,
                CAST(running AS DOUBLE) / CAST(total AS DOUBLE) AS cumulative_share, abc FROM abc"""),
     "demand_stats": ("demand stats", """
-        SELECT sku, demand_avg, round(demand_std, 6) AS demand_std,
-               CAST(demand_sum AS BIGINT) AS demand_sum, round(cv, 6) AS cv FROM stats"""),
+        SELECT sku, demand_avg, demand_std,
+               CAST(demand_sum AS BIGINT) AS demand_sum, cv FROM stats"""),
     "xyz_classes": ("demand stats", """
-        SELECT sku, round(cv, 6) AS cv,
+        SELECT sku, cv,
                CASE WHEN cv < 0.30 THEN 'X' WHEN cv < 0.60 THEN 'Y' ELSE 'Z' END AS xyz FROM stats"""),
     "abc_xyz": ("products demand stats abc classed", """
-        SELECT sku, name, category, abc, xyz, class, round(cv, 6) AS cv, CAST(revenue AS DOUBLE) AS revenue_total,
+        SELECT sku, name, category, abc, xyz, class, cv, CAST(revenue AS DOUBLE) AS revenue_total,
                CAST(revenue AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share,
                CAST(running AS DOUBLE) / CAST(total AS DOUBLE) AS cumulative_share FROM classed"""),
     "abc_xyz_matrix": ("products demand stats abc classed", """
@@ -351,8 +379,8 @@ BODIES: dict[str, tuple[str, str]] = {
         FROM (SELECT k.abc, COUNT(sku) AS skus, CAST(COALESCE(SUM(revenue), 0) AS DOUBLE) AS revenue
               FROM (VALUES ('A'), ('B'), ('C')) k(abc) LEFT JOIN classed USING (abc) GROUP BY 1)"""),
     "inventory_policy": ("products demand stats abc classed levelled sized policy", """
-        SELECT sku, name, category, class, demand_avg, round(demand_std, 6) AS demand_std,
-               round(cv, 6) AS cv, lead_time_days, safety_stock, reorder_point, order_quantity,
+        SELECT sku, name, category, class, demand_avg, demand_std,
+               cv, lead_time_days, safety_stock, reorder_point, order_quantity,
                CAST(stock_on_hand AS BIGINT) AS stock_on_hand, optimal_stock, excess_units,
                CAST(tied_capital AS DOUBLE) AS tied_capital, deficit_units,
                CAST(sales_at_risk AS DOUBLE) AS sales_at_risk, below_reorder_point FROM policy"""),

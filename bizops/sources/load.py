@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.operators.downtime import PLANNED, UNPLANNED, with_rates
+from bizops.operators.ordered import with_order
 from bizops.sources.schemas import INVENTORY, MACHINE_RATES, PLANT, STAR, UNPLANNED_LABEL, Table
 
 BYTE_ORDER_MARK = "\ufeff"
@@ -74,23 +77,63 @@ def published_rates(spark: SparkSession) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str, header_row: int = 1, columns: int | None = None) -> DataFrame:
-    """A sheet's CSV export as text columns named by line ``header_row`` of the file.
+    """A sheet's CSV export as text columns named by the record that starts in line ``header_row``.
 
-    The lines above the header are skipped.  Every file below ``path`` is one export with the same
-    lines on top, read whole by one task (a sheet holds about a million rows at most); cells
-    without line breaks are assumed.  ``columns`` gives the number of cells to take (default: all
-    of the header); cells without a name become ``col<n>``.
+    The lines above the header are skipped; blank lines are ignored.  Every file below ``path`` is
+    one export with the same lines on top.  Cells may hold line breaks between quotes (a quote inside
+    such a cell is doubled); a break in a cell becomes a line feed.  ``columns`` gives the number of
+    cells to take (default: all of the header); cells without a name become ``col<n>``.
+
+    Files are split like any text: each split counts its lines and quotes, the counts of the splits
+    before it give every line its number and tell whether a cell is still open, and only the lines of
+    records that go over several lines are brought together.
     """
-    files = spark.read.text(path, wholetext=True).where(F.length("value") > 0)
-    lines = files.select(F.split(F.ltrim(F.col("value"), F.lit(BYTE_ORDER_MARK)), "\r?\n").alias("lines"))
-    first = lines.select(F.get("lines", F.lit(header_row - 1)).alias("head")).first()
-    if first is None or not first["head"]:
+    lines = _numbered(spark.read.text(path))
+    # Lines that are a record of their own stay where they are.
+    single = lines.where("NOT _inside AND NOT _open").select("_file", F.col("_line").alias("_at"), "value")
+    open_ = lines.where("_inside OR _open").withColumn("_starts", (~F.col("_inside")).cast("bigint"))
+    # The running count of records that start, over all files, numbers them.
+    numbered = with_order(open_, ["_file", "_line"], value="_starts")
+    parts = numbered.groupBy("_file", F.col("running").alias("_record")).agg(
+        F.min("_line").alias("_at"), F.array_sort(F.collect_list(F.struct("_line", "value"))).alias("_parts"))
+    joined = parts.select("_file", "_at", F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"))
+    records = single.unionByName(joined)
+    first = F.min_by("value", F.struct("_at", "_file"))
+    head = records.where(F.col("_at") == header_row).agg(first.alias("head")).first()["head"]
+    if not head:
         raise ValueError(f"{path} has no header in line {header_row}")
-    cells = next(csv.reader([first["head"]]))
+    cells = next(csv.reader(io.StringIO(head.lstrip(BYTE_ORDER_MARK), newline="")))
     names = [c.strip() or f"col{i}" for i, c in enumerate(cells, 1)][:columns]
-    rows = lines.select(F.explode(F.slice("lines", header_row + 1, F.size("lines"))).alias("line"))
     schema = ", ".join(f"`{n}` string" for n in names)
-    return rows.where("line <> ''").select(F.from_csv("line", schema).alias("row")).select("row.*")
+    rows = records.where((F.col("_at") > header_row) & (F.trim("value") != ""))
+    return rows.select(F.from_csv("value", schema, {"escape": '"', "multiLine": "true"}).alias("row")).select("row.*")
+
+
+def _numbered(text: DataFrame) -> DataFrame:
+    """The lines of text files with _file, _line (from 1), _inside (the line begins within an open
+    cell) and _open (it ends within one).
+
+    A cell is open after an odd number of quotes.  What goes through one task is a split of a file,
+    never a file, and one row per split for the sums.
+    """
+    lines = text.select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"), F.length(F.regexp_replace("value", '[^"]', "")).alias("_quotes"),
+    )
+    whole = lines.groupBy("_file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.sum("_quotes").alias("_q"))
+    before = W.partitionBy("_file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    starts = whole.select(
+        F.col("_file").alias("_f"), F.col("_split").alias("_s"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lines_before"), F.coalesce(F.sum("_q").over(before), F.lit(0)).alias("_quotes_before"),
+    )
+    inside = W.partitionBy("_file", "_split").orderBy("_id")
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = lines.withColumns({"_nth": F.row_number().over(inside), "_sum": F.sum("_quotes").over(upto)})
+    return counted.join(starts, (F.col("_file") == F.col("_f")) & (F.col("_split") == F.col("_s"))).select(
+        "value", "_file", (F.col("_lines_before") + F.col("_nth")).alias("_line"),
+        ((F.col("_quotes_before") + F.col("_sum") - F.col("_quotes")) % 2 == 1).alias("_inside"),
+        ((F.col("_quotes_before") + F.col("_sum")) % 2 == 1).alias("_open"),
+    )
 
 
 def clean_extract(

@@ -73,6 +73,17 @@ def snapshot(df: DataFrame, path: str, as_of: str) -> str:
     return month
 
 
+def freeze_months(states: DataFrame, path: str, months: list[str]) -> None:
+    """Keep the states of some months (rows of ``month``) beside those of the others, all at once.
+
+    A month that is frozen again is replaced.
+    """
+    folders = {m: manifest.new_folder(f"data/period={m}") for m in months}
+    for m, folder in folders.items():
+        states.where(F.col("month") == m).write.parquet(f"{path}/{folder}")
+    manifest.commit(path, manifest.current(path) | folders)
+
+
 def read_snapshots(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
     """The frozen reports of all (or some) months with their ``period``; only the named months'
     folders are listed and read."""

@@ -197,3 +197,32 @@ def test_trend_share_and_percentile_class(sheet):
     assert sum(r["share"] for r in coverage.pct_of_total(sheet).collect()) == pytest.approx(1)
     classes = {r["product_id"]: r["abc"] for r in coverage.coverage_abc(sheet).collect()}
     assert classes == {**{f"p{i}": "A" for i in range(6)}, "p6": "C"}
+
+
+def test_deviations_are_the_same_bits_on_any_partitioning(spark, conf):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"S{k % 200}", k, rng.randrange(1, 10**6)) for k in range(9000)]
+    seen = set()
+    for n in (1, 8, 64):
+        conf(spark__sql__shuffle__partitions=str(n), spark__sql__adaptive__coalescePartitions__enabled="false")
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "sku string, month int, units bigint").repartition(n)
+        seen.add(tuple(sorted((r["sku"], r["demand_avg"].hex(), r["demand_std"].hex(), r["cv"].hex()) for r in abcxyz.demand_stats(df).collect())))
+    assert len(seen) == 1
+    by = {}
+    for sku, _, units in rows:
+        by.setdefault(sku, []).append(units)
+    import statistics
+
+    for sku, _, std, _ in seen.pop():
+        assert float.fromhex(std) == pytest.approx(statistics.stdev(by[sku]), rel=1e-15)
+
+
+def test_deviation_of_one_month_fractions_and_nulls(spark):
+    one = spark.createDataFrame([("a", 5), ("b", 1), ("b", 3), ("c", None)], "sku string, units int")
+    got = {r["sku"]: (r["demand_avg"], r["demand_std"], r["demand_sum"]) for r in abcxyz.demand_stats(one).collect()}
+    assert got == {"a": (5.0, None, 5), "b": (2.0, pytest.approx(2 ** 0.5), 4), "c": (None, None, None)}
+    half = spark.createDataFrame([("a", 0.5), ("a", 1.5)], "sku string, units double")
+    assert abcxyz.demand_stats(half).first()["demand_std"] == pytest.approx(0.5 ** 0.5)

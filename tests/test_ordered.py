@@ -125,3 +125,15 @@ def test_only_rows_in_brackets_are_sorted(spark, monkeypatch):
     [place] = ordered.at_ranks(df, {"v": F.col("v")}, "k", lambda n: [n // 2])["v"]
     want = sorted(i * 7919 % 100_003 for i in range(100_000))[49_999]
     assert place.value == want and len(seen) == 1 and seen[0] < 200
+
+
+def test_percentiles_of_groups(spark):
+    rng = random.Random(5)
+    rows = [(g, None if rng.random() < 0.1 else rng.choice([1.5, 7.25, rng.uniform(0, 9)])) for g in [None, "a", "b", "c"] for _ in range(rng.randint(1, 90))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r["g"]: (r["lo"], r["mid"]) for r in ordered.percentiles_by(df, "g", "v", {"lo": 0.3, "mid": 0.5}).collect()}
+    for g in {r[0] for r in rows}:
+        values = [v for k, v in rows if k == g and v is not None]
+        if values:
+            assert got[g] == pytest.approx(tuple(np.percentile(values, [30, 50])))
+    assert ordered.percentiles_by(df.where("false"), "g", "v", {"mid": 0.5}).count() == 0

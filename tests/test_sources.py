@@ -107,6 +107,28 @@ def test_read_sheet_skips_the_lines_above_the_header(spark, tmp_path):
         load.read_sheet(spark, str(tmp_path / "s.csv"), header_row=40)
 
 
+def test_read_sheet_with_breaks_inside_cells_over_many_splits(spark, tmp_path, conf):
+    """Records of one and of several lines, cut anywhere by splits far smaller than a file."""
+    import csv as plain
+
+    rows = [(str(i), ['plain', 'two\nlines', 'a "quoted" word', ',', '"\n"\n,\n', '  ', 'x' * 90][i % 7], str(i * 3)) for i in range(4000)]
+    for name in ("a", "b"):
+        (tmp_path / "s").mkdir(exist_ok=True)
+        with open(tmp_path / "s" / f"{name}.csv", "w", newline="", encoding="utf-8") as out:
+            out.write(BOM + 'title,"over\ntwo lines",\r\n\r\n')
+            writer = plain.writer(out)
+            writer.writerow(["Code", "Text\nof the cell", "N"])
+            writer.writerows(rows)
+    conf(spark__sql__files__maxPartitionBytes="2048", spark__sql__files__openCostInBytes="0", spark__sql__shuffle__partitions="4")
+    sheet = load.read_sheet(spark, str(tmp_path / "s"), header_row=4)
+    assert sheet.columns == ["Code", "Text\nof the cell", "N"]
+    assert spark.read.text(str(tmp_path / "s")).rdd.getNumPartitions() > 50
+    # from_csv drops nothing but the white space around a bare cell
+    got = sorted((tuple(r) for r in sheet.collect()), key=lambda r: int(r[0]))
+    want = sorted(rows * 2, key=lambda r: int(r[0]))
+    assert [(a, (b or "").strip(" "), c) for a, b, c in got] == [(a, b.strip(" "), c) for a, b, c in want]
+
+
 def test_clean_extract(spark):
     df = spark.createDataFrame(
         [("1", "a", "10.5"), (None, "a", "1"), ("", "a", "1"), ("  ", "a", "1"), ("2", "other", "1"), ("3", "b", "n/a"), ("4", "b", None)],
