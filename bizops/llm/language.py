@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts
+from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts, piece
 
 UNKNOWN = "und"
 NARROW = 0.01
@@ -63,19 +63,21 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-        per_language: int = 500, excerpt: int = 2000, size: int = 409_600, level: int = 3) -> LanguageModel:
+        per_language: int = 500, excerpt: int = 2000, size: int = 409_600, level: int = 3,
+        most: int = 200) -> LanguageModel:
     """Fit on a bounded sample: about ``per_language`` texts of every language among the rows that
-    are not held out, the first ``excerpt`` characters of each (prediction takes whole texts).
+    are not held out, ``excerpt`` characters from a hashed place in each (prediction takes whole
+    texts).  Of more than ``most`` different values in the language column the commonest are learned.
 
-    Rows without language or text are left out.  The model holds ``size`` bytes a language at
-    most.  Without any row the model knows no language and answers ``und``.
+    Rows without language or text are left out, repeated rows count once.  The model holds ``size``
+    bytes a language at most.  Without any row the model knows no language and answers ``und``.
     """
     known = docs.where(~held_out(id_col)).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text")
     )
-    counts = label_sizes(known, "_lang")
-    rows = even_sample(known, "_lang", "_id", per_language, counts).select(
-        "_lang", F.substring("_text", 1, excerpt).alias("t"), F.xxhash64("_id", "_text").alias("h")
+    counts = label_sizes(known, "_lang", most)
+    rows = even_sample(known, "_lang", ["_id", "_text"], per_language, counts).select(
+        "_lang", piece("_text", "language", excerpt).alias("t"), "h"
     ).collect()
     texts = {name: [] for name in sorted(counts, key=lambda x: (-counts[x], x))}
     for r in sorted(rows, key=lambda r: r["h"]):

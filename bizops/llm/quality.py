@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts
+from bizops.llm.compression import compressor, dictionary, even_sample, held_out, label_sizes, map_texts, piece
 
 THRESHOLD = 0.3
 
@@ -72,21 +72,24 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
         per_label: int = 3200, excerpt: int = 2000, size: int = 262_144, level: int = 3) -> QualityModel:
     """Fit on a bounded sample: about ``per_label`` labelled documents of each class that are not
-    held out.  Half of them train the dictionaries, with the first ``excerpt`` characters of each;
-    the other half calibrates, with whole texts as they will be scored (only their four features
-    come to the driver) and the classes' true shares.
+    held out.  Half of them train the dictionaries, each with ``excerpt`` characters from a hashed
+    place in its text; the other half calibrates, with whole texts as they will be scored (only
+    their four features come to the driver) and the classes' true shares.
 
-    Labels other than 0 and 1 and null texts are left out.  Without examples of both classes the
+    The bound is on documents, not ids: an id with very many texts is thinned like the rest, and
+    repeated rows count once.  Labels other than 0 and 1 and null texts are left out.  Without examples of both classes the
     model gives every text the same score, the share of label 1 (0.5 without any label).
     """
     known = labels.where(F.col(label).isin(0, 1)).where(~held_out(id_col)).select(
         F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")
     ).distinct()
     totals = label_sizes(known, "_y")
-    chosen = F.broadcast(even_sample(known, "_y", "_id", per_label, totals))  # bounded by per_label
+    chosen = F.broadcast(even_sample(known, "_y", ["_id"], per_label, totals).drop("h"))  # bounded by per_label
     named = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("t")).where("t IS NOT NULL")
-    sample = named.join(chosen, "_id").withColumn("h", F.xxhash64(F.lit("half"), "_id"))
-    train = sample.where("h >= 0").select("_y", F.encode(F.substring("t", 1, excerpt), "utf-8").alias("t"), "h").collect()
+    joined = named.join(chosen, "_id")
+    sample = even_sample(joined, "_y", ["_id", "t"], per_label, label_sizes(joined, "_y"))
+    half = F.xxhash64(F.lit("half"), "h")
+    train = sample.where(half >= 0).select("_y", F.encode(piece("t", "train", excerpt), "utf-8").alias("t"), "h").collect()
     found = {y: [bytes(r["t"]) for r in sorted((r for r in train if r["_y"] == y), key=lambda r: r["h"])] for y in (0, 1)}
     share = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
     constant = (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0, 0.0)
@@ -104,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
         return run
 
-    rest = sample.where("h < 0")
+    rest = sample.where(half < 0)
     rows = map_texts(rest, "t", [F.col("_y"), F.col("h")], "x array<double>", measure).collect()
     rows.sort(key=lambda r: (r["h"], r["_y"]))
     x, y = np.array([r["x"] for r in rows]), np.array([r["_y"] for r in rows])

@@ -1,10 +1,13 @@
+import math
+import re
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from bizops.llm import language, quality
-from bizops.llm.compression import even_sample, held_out, label_sizes
+from bizops.llm.compression import even_sample, held_out, label_sizes, piece
 from bizops.llm.queries import QUERIES
 
 GOOD = ["the river runs to the sea and the hill is green", "a house by the road has a red door and a garden"]
@@ -26,6 +29,37 @@ def test_even_sample_keeps_about_as_many_of_each(spark):
     assert even_sample(rows, "label", "id", 500, {}).count() == 0
 
 
+@pytest.mark.parametrize("ident", ["7", "null", "61"])
+def test_sample_of_one_id_is_bounded(spark, ident):
+    """20,000 rows of one id, or of none: about as many are kept as are wanted, neither all nor none."""
+    rows = spark.range(20_000).selectExpr(f"{ident} AS doc_id", "'a' AS label", "'text ' || id AS text")
+    got = even_sample(rows, "label", ["doc_id", "text"], 500, label_sizes(rows, "label")).count()
+    assert 350 < got < 650
+    same = rows.withColumn("text", F.lit("same"))
+    assert even_sample(same, "label", ["doc_id", "text"], 50_000, label_sizes(same, "label")).count() == 1
+
+
+def test_fits_on_a_flood_of_one_id_stay_bounded(spark, make_docs, monkeypatch):
+    flood = spark.range(4000).selectExpr("IF(id % 2 = 0, 7, 8) AS doc_id", "'text of ' || id AS text", "IF(id % 2 = 0, 'en', 'de') AS lang")
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, quality int")
+    seen = []
+    real = quality.even_sample
+    monkeypatch.setattr(quality, "even_sample", lambda *a: seen.append(real(*a)) or seen[-1])
+    quality.fit(flood, labels, per_label=200)
+    assert 250 < seen[-1].count() < 550
+    assert max(map(len, language.fit(flood, per_language=100).contents)) < 150 * 20
+    dirty = flood.withColumn("lang", F.col("text"))
+    assert len(language.fit(dirty, most=30).languages) == 30
+
+
+def test_pieces_come_from_anywhere_in_a_text(spark):
+    texts = spark.range(400).selectExpr("repeat(CAST(id AS STRING) || ' ', 100) || 'middle ' || repeat('tail ', 100) AS t")
+    got = [r["p"] for r in texts.select(piece("t", "x", 50).alias("p")).collect()]
+    assert all(len(p) == 50 for p in got) and sum("tail" in p for p in got) > 100 and sum("tail" not in p for p in got) > 50
+    short = spark.createDataFrame([("short",), ("",), (None,)], "t string").select(piece("t", "x", 50).alias("p")).collect()
+    assert [r["p"] for r in short] == ["short", "", None]
+
+
 @pytest.fixture
 def labelled(spark, make_docs):
     rows, labels = [], []
@@ -112,3 +146,79 @@ def test_queries_on_held_out_rows(spark):
     langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
     judged = [r for r in QUERIES["op10_language"](spark, folder).collect() if r["held_out"]]
     assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in judged) > 0.92 * len(judged)
+
+
+# ---------------------------------------------------------------- the classifiers in plain Python
+
+
+def packer(content, level, trained):
+    kind = zstandard.DICT_TYPE_AUTO if trained else zstandard.DICT_TYPE_RAWCONTENT
+    return zstandard.ZstdCompressor(
+        level=level, dict_data=zstandard.ZstdCompressionDict(content, dict_type=kind),
+        write_content_size=False, write_checksum=False, write_dict_id=False)
+
+
+def plain_features(text, good, bad):
+    data = (text or "").encode()
+    g, b, n = len(good.compress(data)), len(bad.compress(data)), len(data)
+    return [(b - g) / max(n, 1), (b - g) / max(g + b, 1), math.log1p(n), min(g, b) / max(n, 1)]
+
+
+def test_quality_equals_plain_code(spark, labelled):
+    """Dictionaries, calibration and every row's score, from the same sample with zstandard alone."""
+    docs, labels = labelled
+    model = quality.fit(docs, labels, per_label=10_000, excerpt=10_000)
+    known = labels.where("quality IN (0, 1)").select("doc_id", "quality").distinct()
+    sample = docs.where(~held_out()).where("text IS NOT NULL").join(known, "doc_id").withColumn("h", F.xxhash64(F.lit("even_sample"), "doc_id", "text"))
+    rows = sorted(sample.select("doc_id", "text", "quality", "h", (F.xxhash64(F.lit("half"), "h") >= 0).alias("train")).collect(), key=lambda r: r["h"])
+    packers = []
+    for y, content in ((1, model.good), (0, model.bad)):
+        texts = [r["text"].encode() for r in rows if r["train"] and r["quality"] == y]
+        size = min(262_144, max(256, len(b"\n".join(texts)) // 3))
+        assert content == zstandard.train_dictionary(size, texts, level=3).as_bytes()
+        packers.append(packer(content, 3, True))
+    rest = [r for r in rows if not r["train"]]
+    x = [plain_features(r["text"], *packers) for r in rest]
+    y = [r["quality"] for r in rest]
+    centre = [sum(c) / len(x) for c in zip(*x)]
+    scale = [max(math.sqrt(sum((v - m) ** 2 for v in c) / len(x)), 1e-9) for c, m in zip(zip(*x), centre)]
+    assert model.centre == pytest.approx(centre) and model.scale == pytest.approx(scale)
+
+    def chance(row):
+        return 1 / (1 + math.exp(-max(-40, min(40, model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], row, centre, scale))))))
+
+    totals = {r["quality"]: r["n"] for r in known.where(~held_out()).groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    share = (totals[1] + 0.5) / (sum(totals.values()) + 1)
+    weight = {1: share / sum(y) * len(y), 0: (1 - share) / (len(y) - sum(y)) * len(y)}
+    # At the fitted weights the gradient of the weighted likelihood and its ridge is zero.
+    for k in range(5):
+        columns = [1.0 if k == 0 else (row[k - 1] - centre[k - 1]) / scale[k - 1] for row in x]
+        slope = sum(weight[t] * (chance(row) - t) * c for row, t, c in zip(x, y, columns)) + 0.01 * model.weights[k]
+        assert abs(slope) < 1e-3
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = quality.score(docs, model).collect()
+    for r in got:
+        want = chance(plain_features(texts[r["doc_id"]], *packers))
+        assert r["score"] == pytest.approx(want, abs=1e-12) and r["predicted"] == (want >= 0.3)
+
+
+def test_language_equals_plain_code(spark, spoken):
+    model = language.fit(spoken, per_language=10_000, excerpt=10_000)
+    plain = lambda t: re.sub(rb"[\x00-@\[-`{-\x7f]", b" ", t.lower().encode())
+    rows = spoken.where(~held_out()).where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64(F.lit("even_sample"), "doc_id", "text")).collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: r["h"]):
+        by.setdefault(r["lang"], []).append(plain(r["text"]))
+    order = sorted(by, key=lambda k: (-len(by[k]), k))
+    assert model.languages == tuple(order) and model.contents == tuple(b"\n".join(by[k])[:409_600] for k in order)
+    packers = [packer(c, 3, False) for c in model.contents]
+    texts = {r["doc_id"]: r["text"] for r in spoken.collect()}
+    for r in language.predict(spoken, model, reject=False).collect():
+        if not texts[r["doc_id"]]:
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        sizes = [len(p.compress(plain(texts[r["doc_id"]]))) for p in packers]
+        first, second = sorted(sizes)[:2]
+        margin = (second - first) / second
+        assert r["lang_pred"] == order[sizes.index(first)] and r["narrow"] == (margin < language.NARROW)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-min(40, 50 * margin))))
