@@ -38,7 +38,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier (operator 4): documents scored below the threshold go."""
     ship_package(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(_rows(docs), model, id_col="key", keep=["row"])
+    scored = quality.score(_rows(docs).select("key", "row"), model, id_col="key", text=f"row.{TEXT}", keep=["row"])
     return scored.where("predicted = 1").select("row.*")
 
 
