@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import dbl, percent_even, ratio
-from bizops.operators.grouped import count_bits, grouped_once, id_word
+from bizops.operators.grouped import count_bits, grouped_once, id_word, total
 from bizops.session import cut_lineage
 
 
@@ -128,7 +130,7 @@ def kpis_of(words: DataFrame, dim: str, pct_decimals: int = 1) -> DataFrame:
     )
 
 
-def report_sums(sales: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
+def report_sums(sales: DataFrame, dims: list[str], scales: Mapping[str, int] = {}) -> dict[str, DataFrame]:
     """What the commercial report needs, from one pass over the lines: ``months`` (_month, _revenue,
     _margin, tickets, customers), ``customers`` (last_date, frequency, monetary, margin) and, for each
     of ``dims``, sums by its values and blocks of tickets."""
@@ -141,7 +143,7 @@ def report_sums(sales: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
         rows,
         {"tickets": ["_month", "_block"], "buyers": ["_month", "_buyers"], "customers": ["customer_id", "_block"]}
         | {d: [d, "_block"] for d in dims},
-        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin"), F.max("sale_date").alias("_last"),
+        *[total(c, scales.get(c)).alias(f"_{c}") for c in ("revenue", "margin")], F.max("sale_date").alias("_last"),
         F.bit_or("_ticket").alias("_tickets"), F.bit_or("_buyer").alias("_buyer_bits"),
     )
     buyers = sums["buyers"].groupBy(F.col("_month").alias("_of")).agg(count_bits("_buyer_bits").alias("customers"))
@@ -155,7 +157,7 @@ def report_sums(sales: DataFrame, dims: list[str]) -> dict[str, DataFrame]:
     }
 
 
-def month_states(sales: DataFrame) -> DataFrame:
+def month_states(sales: DataFrame, scales: Mapping[str, int] = {}) -> DataFrame:
     """What the KPIs of a period are made of, by month: month, kind, block, bits, revenue, margin.
 
     Rows of the kind ``ticket`` hold the sums and the tickets of a block of ids as bits, those of the
@@ -169,7 +171,7 @@ def month_states(sales: DataFrame) -> DataFrame:
     })
     sums = grouped_once(
         rows, {"ticket": ["month", "_t"], "customer": ["month", "_c"]},
-        F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"), F.bit_or("_tb").alias("_tb"), F.bit_or("_cb").alias("_cb"),
+        *[total(c, scales.get(c)).alias(c) for c in ("revenue", "margin")], F.bit_or("_tb").alias("_tb"), F.bit_or("_cb").alias("_cb"),
     )
     money = lambda c, own: (F.col(c) if own else F.lit(None)).cast("decimal(38,4)").alias(c)
     kinds = [("ticket", "_t", "_tb"), ("customer", "_c", "_cb")]

@@ -132,6 +132,7 @@ class Place(NamedTuple):
 
 
 ACCURACY = 10_000  # the brackets below are off by no more than this part of the rows
+IN_TASK = 100_000  # rows of a bracket that one task may put in order
 
 
 def at_ranks(
@@ -143,7 +144,7 @@ def at_ranks(
     Only cut points are selected, so nothing is sorted whole: approximate percentiles, which merge
     on the map side, bracket each wanted rank; exact counts below the brackets say which row of a
     bracket is meant, and only the rows inside brackets - a few thousandths, and values that many
-    rows share - are put in order, all measures at once.  Should a bracket miss its rank, or a rank
+    rows share - are put in order.  Should a bracket miss its rank, or a rank
     fall among nulls, that measure is ordered whole.
     """
     names = list(measures)
@@ -154,14 +155,12 @@ def at_ranks(
         return {m: [] for m in names}
     share = lambda r, by: min(1.0, max(0.0, r / n + by))
     points = [[share(r, by) for r in wanted] for by in (-2 / accuracy, 2 / accuracy)]
-    near = rows.agg(*[
-        F.percentile_approx(m, p, accuracy).alias(f"{m}_{side}") for m in names for side, p in zip(("low", "high"), points)
-    ]).first()
+    near = rows.agg(*[F.percentile_approx(m, points[0] + points[1], accuracy).alias(m) for m in names]).first()
     kinds = {f.name: f.dataType for f in rows.schema}
     brackets = {
         (m, i): (F.lit(low).cast(kinds[m]), F.lit(high).cast(kinds[m]))
-        for m in names if near[f"{m}_low"] is not None
-        for i, (low, high) in enumerate(zip(near[f"{m}_low"], near[f"{m}_high"]))
+        for m in names if near[m] is not None
+        for i, (low, high) in enumerate(zip(near[m][: len(wanted)], near[m][len(wanted) :]))
     }
     inside = {b: (F.col(b[0]) >= low) & (F.col(b[0]) <= high) for b, (low, high) in brackets.items()}
     below = {b: F.col(b[0]).isNull() | (F.col(b[0]) < low) for b, (low, _) in brackets.items()}
@@ -181,20 +180,32 @@ def at_ranks(
                 whole.add(m)
     found: dict[tuple[str, int], Place] = {}
     # One table of the brackets' rows: each measure has a column of its own, filled in its slots only.
+    # The exact counts say how large a bracket is.  Those that a task can hold are ranked by a window, a
+    # task each; the others, where very many rows share a value, by a distributed sort.
     slots = [s for s in slots if s[0] not in whole]
-    if slots:
-        start, picks = 0, {}
-        for number, (m, i, place) in enumerate(slots):
-            picks[start + place] = (m, i)
-            start += counts[f"in_{m}_{i}"]
+    small = [s for s in slots if counts[f"in_{s[0]}_{s[1]}"] <= IN_TASK]
+
+    def bracketed(some: list) -> DataFrame:
         copies = F.array(*[
             F.when(inside[m, i], F.struct(
                 F.lit(number).alias("slot"), *[(F.col(o) if o == m else F.lit(None).cast(kinds[o])).alias(o) for o in names]
-            )) for number, (m, i, _) in enumerate(slots)
+            )) for number, (m, i, _) in enumerate(some)
         ])
-        some = rows.select("_key", F.explode(F.array_compact(copies)).alias("_c")).select("_key", "_c.*")
-        placed = _rows_at(with_order(some, ["slot", *names, "_key"]), list(picks), names)
-        found = {(m, i): Place(placed[r][m], placed[r]["_key"]) for r, (m, i) in picks.items()}
+        return rows.select("_key", F.explode(F.array_compact(copies)).alias("_c")).select("_key", "_c.*")
+
+    if small:
+        picks = {number * (IN_TASK + 1) + place: (m, i) for number, (m, i, place) in enumerate(small)}
+        nth = F.row_number().over(W.partitionBy("slot").orderBy(*names, "_key"))
+        placed = _rows_at(bracketed(small).withColumn("rank", F.col("slot") * (IN_TASK + 1) + nth), list(picks), names)
+        found |= {(m, i): Place(placed[r][m], placed[r]["_key"]) for r, (m, i) in picks.items()}
+    large = [s for s in slots if s not in small]
+    if large:
+        start, picks = 0, {}
+        for m, i, place in large:
+            picks[start + place] = (m, i)
+            start += counts[f"in_{m}_{i}"]
+        placed = _rows_at(with_order(bracketed(large), ["slot", *names, "_key"]), list(picks), names)
+        found |= {(m, i): Place(placed[r][m], placed[r]["_key"]) for r, (m, i) in picks.items()}
     for m in whole:
         placed = _rows_at(with_order(rows.select(m, "_key"), [m, "_key"]), wanted, [m])
         found |= {(m, i): Place(placed[r][m], placed[r]["_key"]) for i, r in enumerate(wanted)}

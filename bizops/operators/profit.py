@@ -7,12 +7,14 @@ cost, margin``; each operator reads only the columns it needs.  Facts are aggreg
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
-from bizops.operators.grouped import count_bits, grouped_once, id_word
-from bizops.operators.ordered import percentiles, percentiles_by
+from bizops.operators.grouped import count_bits, grouped_once, id_word, total
+from bizops.operators.ordered import percentiles_by
 from bizops.session import cut_lineage
 
 # The middle of two averages in cents has a third decimal, so the gap to it is exact at three.
@@ -195,7 +197,7 @@ def slowest(rhythm: DataFrame, products: DataFrame, months: int = 6, cover_month
 def customer_activity(sales: DataFrame, base: tuple[str, str], following: tuple[str, str]) -> DataFrame:
     """Per customer: bought in the base period, bought in the following one, base-period margin."""
     known = sales.where(F.col("customer_id").isNotNull() & (within(base) | within(following)))
-    return known.groupBy("customer_id").agg(*_activity(base, following))
+    return known.groupBy("customer_id").agg(*_activity(base, following, {}))
 
 
 def within(period: tuple[str, str]) -> Column:
@@ -204,11 +206,11 @@ def within(period: tuple[str, str]) -> Column:
     return (d >= F.lit(period[0]).cast("date")) & (d < F.lit(period[1]).cast("date"))
 
 
-def _activity(base: tuple[str, str], following: tuple[str, str]) -> list[Column]:
+def _activity(base: tuple[str, str], following: tuple[str, str], scales: Mapping[str, int]) -> list[Column]:
     return [
         F.max(within(base)).alias("in_base"),
         F.max(within(following)).alias("in_following"),
-        sum_where(within(base), "margin").alias("margin_base"),
+        F.coalesce(total(F.when(within(base), F.col("margin")), scales.get("margin")), F.lit(0)).alias("margin_base"),
     ]
 
 
@@ -260,11 +262,11 @@ def sales_of_members(sales: DataFrame, members: DataFrame, key: str) -> DataFram
     return sales.join(members.select(key), key, "left_semi")
 
 
-def _store_sums(sales: DataFrame, *keys: str) -> DataFrame:
+def _store_sums(sales: DataFrame, *keys: str, scales: Mapping[str, int] = {}) -> DataFrame:
     """Tickets, revenue and margin by ``keys``; tickets are counted as mergeable words of bits."""
     block, bit = id_word(sales, "ticket_id")
     words = sales.groupBy(*keys, block.alias("_block")).agg(
-        F.bit_or(bit).alias("_tickets"), F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
+        F.bit_or(bit).alias("_tickets"), *[total(c, scales.get(c)).alias(f"_{c}") for c in ("revenue", "margin")]
     )
     return _ticket_average(words, *keys)
 
@@ -303,17 +305,19 @@ def store_ticket(sales: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def store_gap(sales: DataFrame, stores: DataFrame, months: int | Column, capture: float = 0.5) -> DataFrame:
+def store_gap(sales: DataFrame, stores: DataFrame, months: int | Column, capture: float = 0.5,
+              scales: Mapping[str, int] = {}) -> DataFrame:
     """Gap of each store's average ticket to the network median and the gain from closing part of it.
 
     ``gain`` covers the whole period of ``sales`` (``months`` long), ``gain_per_year`` a year of it.
+    ``scales`` names columns that hold whole units (see ``grouped.total``).
     """
-    return gaps_of(cut_lineage(_store_sums(sales, "store_id")), stores, months, capture)
+    return gaps_of(cut_lineage(_store_sums(sales, "store_id", scales=scales)), stores, months, capture)
 
 
 def gaps_of(per_store: DataFrame, stores: DataFrame, months: int | Column, capture: float = 0.5) -> DataFrame:
-    """Gaps from the sums of each store."""
-    middle = percentiles(per_store, "avg_ticket", {"median": 0.5})
+    """Gaps from the sums of each store.  The network's median is one number per store to one task."""
+    middle = per_store.agg(F.median("avg_ticket").alias("median"))
     share = per_store.agg(ratio(F.sum("_margin"), F.sum("_revenue")).alias("share"))
     placed = per_store.join(stores, "store_id").withColumns({"_median": middle.scalar(), "_share": share.scalar()})
     median = F.col("_median")
@@ -332,10 +336,10 @@ def gaps_of(per_store: DataFrame, stores: DataFrame, months: int | Column, captu
     ).orderBy("gap", "store_id")
 
 
-def store_gap_trend(sales: DataFrame) -> DataFrame:
+def store_gap_trend(sales: DataFrame, scales: Mapping[str, int] = {}) -> DataFrame:
     """Each store's gap to the median ticket of its month."""
     per_month = cut_lineage(
-        _store_sums(sales.withColumn("month", F.trunc("sale_date", "month")), "month", "store_id")
+        _store_sums(sales.withColumn("month", F.trunc("sale_date", "month")), "month", "store_id", scales=scales)
     )
     medians = percentiles_by(per_month, "month", "avg_ticket", {"median_ticket": 0.5})
     gap = F.col("avg_ticket") - F.col("median_ticket")
@@ -350,12 +354,14 @@ def store_gap_trend(sales: DataFrame) -> DataFrame:
 
 
 def finding_sums(
-    sales: DataFrame, base: tuple[str, str], following: tuple[str, str], recent: tuple[str, str]
+    sales: DataFrame, base: tuple[str, str], following: tuple[str, str], recent: tuple[str, str],
+    scales: Mapping[str, int] = {},
 ) -> dict[str, DataFrame]:
     """What the findings need, from one pass over the lines: ``products`` (sums, units of the recent
     months), ``customers`` (activity), ``stores`` (tickets and sums) and ``months`` (one row each).
 
     Lines are grouped by product, by customer, by store and block of tickets, and by month at once.
+    ``scales`` names columns that hold whole units (see ``grouped.total``).
     """
     block, bit = id_word(sales, "ticket_id")
     rows = sales.withColumns({"_block": block, "_bit": bit, "_month": F.trunc("sale_date", "month")})
@@ -363,9 +369,8 @@ def finding_sums(
         rows,
         {"products": ["product_id"], "customers": ["customer_id"], "stores": ["store_id", "_block"], "months": ["_month"]},
         F.sum("qty").alias("qty"), sum_where(within(recent), "qty").alias("units_recent"),
-        F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"),
-        F.sum("discount").alias("discount"), F.count("discount").alias("discounted_lines"),
-        F.bit_or("_bit").alias("_tickets"), *_activity(base, following),
+        *[total(c, scales.get(c)).alias(c) for c in ("revenue", "margin", "discount")], F.count("discount").alias("discounted_lines"),
+        F.bit_or("_bit").alias("_tickets"), *_activity(base, following, scales),
     )
     renamed = sums["stores"].withColumnsRenamed({"revenue": "_revenue", "margin": "_margin"})
     active = sums["customers"].where(F.col("customer_id").isNotNull() & (F.col("in_base") | F.col("in_following")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, ratio, sum_where
@@ -81,7 +81,7 @@ _HASH = ("_h1", "_h2")
 
 def _with_hash(df: DataFrame) -> DataFrame:
     """Adds two 64-bit hashes of the whole row; where the nulls are is part of them."""
-    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in df.columns])
+    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("bigint") * (1 << i % 62) for i, c in enumerate(df.columns)])
     return df.withColumns({"_h1": F.xxhash64(nulls, *df.columns), "_h2": F.xxhash64(F.lit("second"), *reversed(df.columns), nulls)})
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bizops.functions import rules
 from bizops.functions.numeric import dbl, ratio
+from bizops.operators.grouped import total
 from bizops.operators.ordered import at_ranks
 from bizops.session import cut_lineage
 
@@ -19,14 +21,17 @@ ANALYST_HOURLY_COST = 4500
 RECOVERY_RATE = 0.30
 
 
-def rfm_base(sales: DataFrame) -> DataFrame:
-    """Last purchase, distinct tickets, money and margin per customer."""
+def rfm_base(sales: DataFrame, scales: Mapping[str, int] = {}) -> DataFrame:
+    """Last purchase, distinct tickets, money and margin per customer.
+
+    ``scales`` names columns that hold whole units (see ``grouped.total``).
+    """
     known = sales.where(F.col("customer_id").isNotNull())
     return known.groupBy("customer_id").agg(
         F.max("sale_date").alias("last_date"),
         F.count_distinct("ticket_id").alias("frequency"),
-        F.sum("revenue").alias("monetary"),
-        F.sum("margin").alias("margin"),
+        total("revenue", scales.get("revenue")).alias("monetary"),
+        total("margin", scales.get("margin")).alias("margin"),
     )
 
 
@@ -35,14 +40,14 @@ def quintile_ends(n: int) -> list[int]:
     return [max(1, q * (n - 1) // 5 + 1) for q in range(1, 5)]
 
 
-def rfm_scores(sales: DataFrame) -> DataFrame:
+def rfm_scores(sales: DataFrame, scales: Mapping[str, int] = {}) -> DataFrame:
     """Quintile scores and segment of every customer.
 
     Equal values are ranked by customer id.  The customers are made once; their four quintile ends
     of each measure are selected without sorting the customers, and place all of them in one
     projection.
     """
-    return scores_of(cut_lineage(rfm_base(sales)))
+    return scores_of(cut_lineage(rfm_base(sales, scales)))
 
 
 def scores_of(base: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bizops.functions import rules
 from bizops.operators import abcxyz, coverage, downtime, impact, kpi, profit, quality, rfm
-from bizops.plans.star import SHEET_MONTHS, Star, from_units, hundredths, whole
+from bizops.plans.star import SHEET_MONTHS, UNITS, Star, from_units, hundredths, whole
 from bizops.session import cut_lineage, scratch_path, tune
 from bizops.sources import publish
 from bizops.sources.load import clean_extract, load_inventory, load_plant, load_star, read_sheet
@@ -153,12 +153,13 @@ def _months(s: Star):
 @query("store_id bigint, store_name string, tickets bigint, avg_ticket double, median_ticket double,"
        "gap double, gap_pct double, gain double, gain_per_year double")
 def store_gap(s: Star):
-    return profit.store_gap(s.sales("store_id", "ticket_id", "revenue", "margin"), s.stores(), _months(s))
+    return profit.store_gap(
+        s.sales("store_id", "ticket_id", "revenue", "margin", units=True), s.stores(), _months(s), scales=UNITS)
 
 
 @query("month date, store_id bigint, avg_ticket double, median_ticket double, gap double, gap_pct double")
 def store_gap_trend(s: Star):
-    return profit.store_gap_trend(s.sales("store_id", "sale_date", "ticket_id", "revenue", "margin"))
+    return profit.store_gap_trend(s.sales("store_id", "sale_date", "ticket_id", "revenue", "margin", units=True), UNITS)
 
 
 # ---------------------------------------------------------------- KPIs
@@ -184,7 +185,7 @@ def monthly_kpis(s: Star):
 def yearly_kpis(s: Star):
     """The years, merged from monthly states that are kept as a table; the lines are read once for
     the months and not again for the years."""
-    states = kpi.month_states(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin"))
+    states = kpi.month_states(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin", units=True), UNITS)
     path = scratch_path(s.spark, "states")
     publish.publish(states, path)
     return kpi.kpis_of_states(publish.read_published(s.spark, path), F.substring("month", 1, 4))
@@ -210,7 +211,7 @@ def kpis_by_category(s: Star):
 
 
 def _scores(s: Star) -> DataFrame:
-    return rfm.rfm_scores(s.sales("customer_id", "sale_date", "ticket_id", "revenue", "margin"))
+    return rfm.rfm_scores(s.sales("customer_id", "sale_date", "ticket_id", "revenue", "margin", units=True), UNITS)
 
 
 @query("customer_id bigint, recency bigint, frequency bigint, monetary double, margin double,"
@@ -576,8 +577,8 @@ def impact_churn(s: Star):
 @query("rank int, finding string, impact double, share double, cumulative_share double, total double")
 def findings_ranked(s: Star):
     """All findings come from one pass over the joined lines."""
-    sales = s.sales("product_id", "customer_id", "store_id", "ticket_id", "sale_date", "qty", "discount", "revenue", "margin")
-    sums = profit.finding_sums(sales, BASE, NEXT, RECENT)
+    sales = s.sales("product_id", "customer_id", "store_id", "ticket_id", "sale_date", "qty", "discount", "revenue", "margin", units=True)
+    sums = profit.finding_sums(sales, BASE, NEXT, RECENT, UNITS)
     months = sums["months"].agg(F.count(F.lit(1)).alias("months")).scalar()
     negative = profit.negative_margin_products(sums["products"], s.products())
     rhythm = sums["products"].select("product_id", F.col("qty").alias("units_total"), "units_recent", F.lit(None).alias("months_sold"))
@@ -715,8 +716,8 @@ def published_inventory(s: Star):
 def published_report(s: Star):
     """Publish the five report tables, all from one pass over the lines, and read them back."""
     path = scratch_path(s.spark, "report")
-    sales = s.sales("store_id", "category", "customer_id", "ticket_id", "sale_date", "revenue", "margin")
-    sums = kpi.report_sums(sales, ["store_id", "category"])
+    sales = s.sales("store_id", "category", "customer_id", "ticket_id", "sale_date", "revenue", "margin", units=True)
+    sums = kpi.report_sums(sales, ["store_id", "category"], UNITS)
     scores = cut_lineage(rfm.scores_of(sums["customers"]))
     publish.publish_report(
         {

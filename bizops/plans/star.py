@@ -14,6 +14,7 @@ from bizops.operators.profit import in_period
 from bizops.session import cut_lineage
 
 COST_FACTOR_PCT = 150  # unit cost as a percentage of the retail price
+UNITS = {"revenue": 4, "cost": 4, "margin": 4, "discount": 2}  # decimals of a sale line's whole units
 SHEET_MONTHS = ["2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01", "2001-06-01", "2001-07-01"]
 
 
@@ -30,12 +31,14 @@ class Star:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def sales(self, *columns: str, start: str | None = None, end: str | None = None, how: str = "inner") -> DataFrame:
+    def sales(self, *columns: str, start: str | None = None, end: str | None = None, how: str = "inner",
+              units: bool = False) -> DataFrame:
         """Sale lines with just ``columns``; a source table is joined only if one of them needs it.
 
         ``start``/``end`` bound the sale date before the join, so the orders scan is pruned and the
         line join only sees matching orders.  ``how="left"`` keeps lines without an order, product or
-        supplier, for the checks that look for them.
+        supplier, for the checks that look for them.  With ``units`` revenue, cost, margin and discount are
+        whole units of the scales in ``UNITS``, for operators that sum them as such.
         """
         lines = self.table("lineitem")
         wanted = set(columns)
@@ -72,6 +75,10 @@ class Star:
                 "cost": from_units(cost, 4, MONEY),
                 "margin": from_units(gross - cost, 4, MONEY),
             }
+            if units:
+                have |= {"cost": cost, "margin": gross - cost}
+        if units:
+            have |= {"revenue": gross, "discount": hundredths("l_discount")}
         if "store_id" in wanted:
             suppliers = self.table("supplier").select(
                 F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("store_id")
