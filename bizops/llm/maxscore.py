@@ -11,7 +11,9 @@ are merged.
 
 from __future__ import annotations
 
+import heapq
 import io
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,31 +32,41 @@ SHARD = 8192  # vectors of one shard
 QUERY_BLOCK = 4096  # queries held at a time
 SEEDS = 4  # times k: vectors scored at once for a first threshold
 KEPT_BESTS = 100_000  # queries whose best scores a task carries from shard to shard
-LIMIT = 1 << 30  # scaled components beyond this would not fit the sums
+PACKED = 1 << 35  # impacts below this are stored as bytes of seven bits, larger ones as digits
+WORD = 1 << 62  # sums below this are made in machine words, others in whole numbers of any size
 
 
-def usable(rows: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """(id, v): scaled whole components of the rows that take part.
+def usable(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(id, v): the components, as doubles, of the rows that take part.
 
-    Left out are rows with a null id, a null or empty vector, or a component that is null, not
-    finite, or beyond ``LIMIT`` once scaled."""
+    Left out are rows with a null id, a null vector, or a component that is null or not finite."""
     x = F.col(vector)
-    whole = F.transform(x, lambda c: F.floor(c.cast("double") * scale))
-    fine = F.forall(x, lambda c: F.coalesce(F.abs(c.cast("double")) * scale < LIMIT, F.lit(False)))  # NaN is not below
-    return rows.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0) & fine).select(
-        F.col(id_col).cast("bigint").alias("id"), whole.alias("v")
+    fine = F.forall(x, lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False)))  # NaN is not below
+    return rows.where(F.col(id_col).isNotNull() & x.isNotNull() & fine).select(
+        F.col(id_col).cast("bigint").alias("id"), x.cast("array<double>").alias("v")
     )
 
 
 def _dense(vectors: list) -> np.ndarray:
-    """Rows of whole numbers; a shorter vector has zeros at its end."""
-    out = np.zeros((len(vectors), max(map(len, vectors), default=0)), np.int64)
+    """Rows of doubles; a shorter vector has zeros at its end."""
+    out = np.zeros((len(vectors), max(map(len, vectors), default=0)))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
 
 
-def _index(size: int):
+def scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * component), in machine words or, where one does not fit, as Python's whole numbers."""
+    if not x.size or np.abs(x).max() < WORD / scale:
+        return np.floor(x * scale).astype(np.int64)
+    out = np.empty(x.shape, object)
+    for at, c in np.ndenumerate(x):
+        product = float(c) * scale
+        out[at] = math.floor(product) if math.isfinite(product) else int(c) * scale
+    return out
+
+
+def _index(size: int, scale: int):
     names = ["shard", "term", "top", "docs", "impacts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,15 +75,18 @@ def _index(size: int):
         vectors: list = []
 
         def flush() -> pa.RecordBatch:
-            x = _dense(vectors)
+            x = scaled(_dense(vectors), scale)
             rows = [(task + number, -1, x.shape[1], np.array(ids, "<i8").tobytes(), b"")]
             for d in range(x.shape[1]):
                 for sign in (0, 1):
                     at = np.flatnonzero(x[:, d] < 0 if sign else x[:, d] > 0)
                     if len(at):
                         impacts = np.abs(x[at, d])
-                        rows.append((task + number, 2 * d + sign, int(impacts.max()),
-                                     varint.encode(np.diff(at, prepend=0))[0].tobytes(), varint.encode(impacts)[0].tobytes()))
+                        places = varint.encode(np.diff(at, prepend=0))[0].tobytes()
+                        if impacts.max() < PACKED:
+                            rows.append((task + number, 2 * d + sign, int(impacts.max()), places, varint.encode(impacts)[0].tobytes()))
+                        else:
+                            rows.append((task + number, 2 * d + sign, -1, places, b" ".join(b"%d" % i for i in impacts.tolist())))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
@@ -96,7 +111,7 @@ def _write_queries(folder: str):
             for at in range(0, len(frame), QUERY_BLOCK):
                 part = frame.iloc[at : at + QUERY_BLOCK]
                 out = io.BytesIO()
-                np.savez(out, ids=part["id"].to_numpy(np.int64), q=_dense(part["v"].tolist()))
+                np.savez(out, ids=part["id"].to_numpy(np.int64), q=_dense(part["v"].tolist()))  # unscaled doubles
                 name = write_once(folder, f"{TaskContext.get().partitionId():06d}-{number:06d}", out.getvalue())
                 number += 1
                 yield pd.DataFrame({"block": [name]})
@@ -110,13 +125,15 @@ class Shard:
     def __init__(self, rows: pd.DataFrame):
         head = rows[rows["term"] == -1].iloc[0]
         self.ids = np.frombuffer(head["docs"], "<i8")
-        self.x = np.zeros((len(self.ids), int(head["top"])), np.int64)
+        self.exact = bool((rows["top"] < 0).any())  # holds components that machine words cannot multiply
+        self.x = np.zeros((len(self.ids), int(head["top"])), object if self.exact else np.int64)
         self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.tops = np.zeros(2 * self.x.shape[1], np.int64)
         for term, top, docs, impacts in zip(rows["term"], rows["top"], rows["docs"], rows["impacts"]):
             if term >= 0:
-                at, size = np.cumsum(varint.decode(docs)), varint.decode(impacts)
-                self.lists[term], self.tops[term] = (at, size), top
+                at = np.cumsum(varint.decode(docs))
+                size = varint.decode(impacts) if top >= 0 else np.array([int(i) for i in impacts.split()], object)
+                self.lists[term], self.tops[term] = (at, size), max(top, 0)
                 self.x[at, term >> 1] = -size if term & 1 else size
 
     def best(self, query: np.ndarray, own: int, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +141,8 @@ class Shard:
         is a score that k others are known to reach."""
         dims = np.flatnonzero(query[: self.x.shape[1]])
         weight = query[dims]
+        if self.exact or query.dtype == object or np.abs(weight).astype(float) @ self.tops.reshape(-1, 2).max(axis=1, initial=0)[dims].astype(float) >= WORD:
+            return self._best_exact(dims, weight, own, k)
         bounds = np.abs(weight) * self.tops[2 * dims + (weight < 0)]
         order = np.argsort(-bounds, kind="stable")
         dims, weight, bounds = dims[order], weight[order], bounds[order]
@@ -156,7 +175,28 @@ class Shard:
         return self.ids[live], score
 
 
-def _search(folder: str, blocks: list[str], k: int):
+    def _best_exact(self, dims: np.ndarray, weight: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for values whose sums may leave the machine word: all lists are essential."""
+        score = np.zeros(len(self.ids), object)
+        for d, w in zip(dims.tolist(), weight.tolist()):
+            for sign in (0, 1):
+                if (found := self.lists.get(2 * d + sign)) is not None:
+                    score[found[0]] += (-w if sign else w) * found[1].astype(object)
+        live = [(-s, i) for s, i in zip(score.tolist(), self.ids.tolist()) if i != own]
+        top = heapq.nsmallest(k, live)
+        return np.array([i for _, i in top], np.int64), np.array([-s for s, _ in top], object)
+
+
+def _in_long(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores held within a long, and which of them are not the true ones."""
+    if scores.dtype != object:
+        return scores, np.zeros(len(scores), bool)
+    most = (1 << 63) - 1
+    held = [max(-most - 1, min(most, s)) for s in scores.tolist()]
+    return np.array(held, np.int64), np.array([h != s for h, s in zip(held, scores.tolist())], bool)
+
+
+def _search(folder: str, blocks: list[str], k: int, scale: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, path = storage(folder)
         least: dict[int, list[int]] = {}  # by query: its k best scores in this task so far
@@ -168,11 +208,12 @@ def _search(folder: str, blocks: list[str], k: int):
                 with fs.open_input_file(f"{path}/{block}") as f:
                     part = np.load(io.BytesIO(f.read()))
                 out = []
-                for own, query in zip(part["ids"].tolist(), part["q"]):
+                for own, query in zip(part["ids"].tolist(), scaled(part["q"], scale)):
                     seen = least.get(own, [])
                     ids, score = shard.best(query, own, k, seen[-1] if len(seen) == k else None)
                     least[own] = sorted(seen + score.tolist(), reverse=True)[:k]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": score}))
+                    held, beyond = _in_long(score)
+                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": held, "beyond": beyond}))
                 if out:
                     yield pd.concat(out, ignore_index=True)
 
@@ -194,24 +235,27 @@ def top_k(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 10,
     """(query_id, rank, vec_id, score): the k best scores of every query among all vectors but
     those with its own id; ties go to the smaller id.  All, where there are fewer than k.
 
-    Rows that ``usable`` leaves out are neither queries nor candidates.  Vectors of different
-    lengths are compared over their common components.  Repeated candidates all count, repeated
-    queries are asked once.  Without vectors or queries there are no rows.
+    Rows that ``usable`` leaves out are neither queries nor candidates.  Components of any finite size
+    take part, and scores are exact; one of the result that a long cannot hold is an error.  Vectors of
+    different lengths are compared over their common components, so an empty one scores 0.  Repeated
+    candidates all count; a query id is asked once, with the first of its vectors in order.  Without
+    vectors or queries there are no rows.
     """
-    found = usable(vectors, id_col, vector, scale)
+    found = usable(vectors, id_col, vector)
     index = scratch.table(found.mapInArrow(
-        _index(shard), "shard bigint, term int, top bigint, docs binary, impacts binary"), "postings")
+        _index(shard, scale), "shard bigint, term int, top bigint, docs binary, impacts binary"), "postings")
     folder = scratch.path("queries")
-    asked = usable(queries, id_col, vector, scale).dropDuplicates(["id"])
+    asked = usable(queries, id_col, vector).groupBy("id").agg(F.min("v").alias("v"))
     written = scratch.table(asked.mapInPandas(_write_queries(folder), "block string"), "blocks")
     # File names of query blocks: each task of this small stage writes one for 4,096 queries.
     blocks = sorted(r["block"] for r in written.collect())
     best = index.repartition(spread(index), "shard").sortWithinPartitions("shard", "term").mapInPandas(
-        _search(folder, blocks, k), "query_id bigint, vec_id bigint, score bigint"
+        _search(folder, blocks, k, scale), "query_id bigint, vec_id bigint, score bigint, beyond boolean"
     )
     order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    told = F.when(F.col("beyond"), F.raise_error(F.lit("a score is beyond a long"))).otherwise(F.col("score"))
+    return ranked.select("query_id", "rank", "vec_id", told.alias("score"))
 
 
 def divisible(id_col: str, by: int) -> Column:

@@ -1,8 +1,11 @@
+import fractions
 import hashlib
+import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bizops.llm import decontaminate, maxscore
 from bizops.llm.queries import QUERIES
@@ -87,15 +90,55 @@ def test_top_k(spark, scratch, sparse):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 12)) * (rng.random((400, 12)) < 0.2 if sparse else 1)
     rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(x)]
-    rows += [(7, rows[7][1], 1), (500, rows[3][1], 1), (501, rows[3][1], 1), (502, [0.0] * 12, 1), (503, [1.0, -2.0], 1)]
-    bad = [(600, None, 1), (601, [None, 1.0], 1), (602, [float("nan")] * 12, 1), (603, [float("inf")] * 12, 1), (604, [], 1), (605, [1e300] * 12, 1), (None, rows[0][1], 1)]
+    rows += [(7, rows[7][1], 1), (500, rows[3][1], 1), (501, rows[3][1], 1), (502, [0.0] * 12, 1), (503, [1.0, -2.0], 1), (504, [], 1)]
+    bad = [(600, None, 1), (601, [None, 1.0], 1), (602, [float("nan")] * 12, 1), (603, [float("inf")] * 12, 1), (None, rows[0][1], 1)]
     frame = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<double>, score int").repartition(3)
     scaled = [(i, [int(np.floor(1024 * c)) for c in v]) for i, v, _ in rows]
-    got = maxscore.top_k(frame, frame.where("vec_id % 20 = 0 OR vec_id IN (7, 503) OR vec_id IS NULL"), scratch, k=5, shard=64)
-    queries = {i: v for i, v in scaled if i % 20 == 0 or i in (7, 503)}
+    got = maxscore.top_k(frame, frame.where("vec_id % 20 = 0 OR vec_id IN (7, 503, 504) OR vec_id IS NULL"), scratch, k=5, shard=64)
+    queries = {i: v for i, v in scaled if i % 20 == 0 or i in (7, 503, 504)}
     assert sorted(map(tuple, got.collect())) == plain_top_k(scaled, queries.items(), 5)
 
 
+def exact(v):
+    return [int(fractions.Fraction(c) * 1024 // 1) for c in v]
+
+
+@pytest.mark.parametrize("shard", [8, 1000])
+def test_components_of_any_size(spark, scratch, shard):
+    """Against Python's whole numbers: sums near, at and beyond what a machine word holds on the way."""
+    rng = random.Random(4)
+    sizes = [1.0, 2.0**19, 2.0**20 - 1, 2.0**25, 2.0**40, 1e15]
+    rows = [(i, [rng.choice([-1, 0, 1]) * rng.choice(sizes[: 2 + i % 5]) * rng.random() for _ in range(16)]) for i in range(120)]
+    rows += [(200, [2.0**20 - 1] * 2), (201, [2.0**20 - 1] * 2), (202, [1.0] * 16), (203, []), (204, [2.0**70, 0.0]), (205, [0.0, 2.0**-70])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = [r for r in rows if r[0] in (200, 202, 203, 205) or r[0] % 30 == 0]
+    want = plain_top_k([(i, exact(v)) for i, v in rows], [(i, exact(v)) for i, v in asked], 5)
+    fits = {q for q in {r[0] for r in asked} if all(abs(r[3]) < 2**63 for r in want if r[0] == q)}
+    assert {203, 205} <= fits and len(fits) < len(asked)
+    few = frame.where(F.col("vec_id").isin(list(fits)))
+    got = maxscore.top_k(frame, few, scratch, k=5, shard=shard)
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in want if r[0] in fits)
+    for q in {r[0] for r in asked} - fits:
+        with pytest.raises(Exception, match="beyond a long"):
+            maxscore.top_k(frame, frame.where(F.col("vec_id") == q), scratch, k=5, shard=shard).collect()
+
+
+def test_sixteen_large_dimensions_rank_before_ones(spark, scratch):
+    rows = [(0, [2.0**18 - 1] * 16), (1, [2.0**18 - 1] * 16), (2, [1.0] * 16)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = maxscore.top_k(frame, frame.where("vec_id = 0"), scratch).orderBy("rank").collect()
+    side = (2**18 - 1) * 1024
+    assert [tuple(r) for r in got] == [(0, 1, 1, 16 * side * side), (0, 2, 2, 16 * side * 1024)]
+
+
+def test_a_repeated_query_id_asks_with_its_first_vector(spark, scratch):
+    rows = [(0, [2.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [3.0, 1.0])]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id bigint, embedding array<double>")
+        got = maxscore.top_k(frame, frame.where("vec_id = 0"), scratch).orderBy("rank").collect()
+        assert [tuple(r) for r in got] == [(0, 1, 2, 3 * 1024 * 1024), (0, 2, 1, 1024 * 1024)]
+
+
 def test_fewer_rows_than_k(spark, scratch):
     frame = spark.createDataFrame([(0, [1.0, 0.5]), (1, [0.25, 0.0]), (2, [-1.0, 0.0])], "vec_id bigint, embedding array<float>")
     got = maxscore.top_k(frame, frame.where("vec_id = 0"), scratch)
