@@ -94,9 +94,10 @@ CONTAMINATION = f"""
         FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 MIX = f"""
-        WITH rows_ AS (
+        WITH RECURSIVE rows_ AS (
             SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-                   (CAST('0x' || substr(md5('42:' || COALESCE(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE) AS u
+                   md5(COALESCE(text, '')) AS digest,
+                   (CAST('0x' || substr(md5('42:' || COALESCE(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(COALESCE(text, ''))), 1, 13) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE) AS u
             FROM documents),
         sources AS (
             SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
@@ -112,18 +113,47 @@ MIX = f"""
             FROM sources),
         planned AS (
             SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole FROM targets),
+        tried AS (
+            SELECT source, size, rest, certain, (rest - certain) / CAST(squares - smaller AS DOUBLE) AS c
+            FROM (SELECT h.source, h.size, p.target - p.whole * p.source_size AS rest,
+                         COALESCE(SUM(h.n * h.size) OVER w, 0) AS certain,
+                         COALESCE(SUM(h.n * h.size * h.size) OVER w, 0) AS smaller,
+                         SUM(h.n * h.size * h.size) OVER (PARTITION BY h.source) AS squares
+                  FROM (SELECT source, size, COUNT(*) AS n FROM rows_ WHERE size > 0 GROUP BY 1, 2) h
+                  JOIN planned p ON h.source IS NOT DISTINCT FROM p.source
+                  WINDOW w AS (PARTITION BY h.source ORDER BY h.size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            WHERE rest > 0),
+        chances AS (
+            SELECT source, MAX(size) AS cut, arg_max(c, size) AS c, arg_max(certain, size) AS certain
+            FROM tried WHERE c * size < 1 GROUP BY source),
         ranked AS (
-            SELECT r.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
-                   SUM(r.size) OVER (PARTITION BY r.source ORDER BY u, doc_id, r.size ROWS UNBOUNDED PRECEDING) AS upto
-            FROM rows_ r JOIN planned p ON r.source IS NOT DISTINCT FROM p.source),
-        prefix AS (SELECT *, rest > 0 AND upto <= rest AS in_ FROM ranked),
-        gaps AS (SELECT *, rest - COALESCE(SUM(size) FILTER (in_) OVER (PARTITION BY source), 0) AS gap FROM prefix),
+            SELECT r.doc_id, r.source, r.size, p.source_size, p.target, p.whole, COALESCE(r.size > h.cut, FALSE) AS sure,
+                   COALESCE(p.target - p.whole * p.source_size - h.certain, 0) AS gap,
+                   CASE WHEN h.c * r.size > 0 AND h.c * r.size < 1 AND r.size <= h.cut
+                        THEN (u / (1 - u)) / ((h.c * r.size) / (1 - h.c * r.size)) END AS q, r.digest
+            FROM rows_ r JOIN planned p ON r.source IS NOT DISTINCT FROM p.source
+            LEFT JOIN chances h ON r.source IS NOT DISTINCT FROM h.source),
+        numbered AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY q IS NULL, q, doc_id, digest) AS pos FROM ranked),
+        fitted AS (
+            SELECT source, 0 AS pos, MAX(gap) AS left_ FROM numbered GROUP BY source
+            UNION ALL
+            SELECT f.source, MIN(n.pos) AS pos, f.left_ - arg_min(n.size, n.pos) AS left_
+            FROM fitted f JOIN numbered n ON n.source IS NOT DISTINCT FROM f.source AND n.pos > f.pos
+                 AND n.size <= f.left_ AND n.size > 0 AND n.q IS NOT NULL
+            GROUP BY f.source, f.left_),
+        ends AS (SELECT source, MIN(left_) AS left_ FROM fitted GROUP BY source),
+        open_ AS (
+            SELECT n.*, f.pos IS NOT NULL OR n.sure AS in_, e.left_
+            FROM numbered n JOIN ends e ON n.source IS NOT DISTINCT FROM e.source
+            LEFT JOIN fitted f ON n.source IS NOT DISTINCT FROM f.source AND n.pos = f.pos),
         closing AS (
-            SELECT source, MIN_BY(doc_id, (abs(gap - size), u, doc_id)) AS best FROM gaps
-            WHERE NOT in_ AND rest > 0 AND size > 0 AND abs(gap - size) < gap GROUP BY source)
+            SELECT source, MIN_BY(pos, (abs(left_ - size), pos)) AS best FROM open_
+            WHERE NOT in_ AND q IS NOT NULL AND size > 0 AND abs(left_ - size) < left_ GROUP BY source)
         SELECT doc_id, size, source_size, target, whole + n AS copies, size * (whole + n) AS taken
-        FROM (SELECT g.*, CAST(in_ OR COALESCE(doc_id = best, FALSE) AS BIGINT) AS n
-              FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source)"""
+        FROM (SELECT o.*, CAST(in_ OR COALESCE(pos = best, FALSE) AS BIGINT) AS n
+              FROM open_ o LEFT JOIN closing c ON o.source IS NOT DISTINCT FROM c.source)"""
+
 
 def _crc_table() -> str:
     """The 256 steps of CRC-32 for the reversed polynomial, as an SQL list."""
