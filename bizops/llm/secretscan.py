@@ -128,16 +128,19 @@ def build_index(docs: DataFrame, trigrams: Sequence[str], scratch: Scratch, id_c
 
 
 def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(doc, rules): a bit for every rule whose trigram query the document satisfies."""
-    known = {t: i for i, t in enumerate(vocabulary(rules))}
-    bit = F.coalesce(*[F.when(F.col("trigram") == t, F.lit(1 << i)) for t, i in known.items()])
-    held = index.groupBy("doc").agg(F.bit_or(bit.cast("bigint")).alias("_held"))
-    asked = F.lit(0).cast("bigint")
-    for number, rule in enumerate(rules):
-        for part in trigram_query(rule.pattern) or []:
-            need = F.lit(sum(1 << known[t] for t in part)).cast("bigint")
-            asked = asked.bitwiseOR(F.when(F.col("_held").bitwiseAND(need) == need, F.lit(1 << number)).otherwise(0).cast("bigint"))
-    return held.select("doc", asked.alias("rules")).where("rules <> 0")
+    """(doc, rules): the numbers of the rules whose trigram query the document satisfies.
+
+    A document satisfies a query if the postings of all trigrams of one of its parts hold it.  The
+    parts are a table, joined to the postings by trigram, so any number of rules can be asked."""
+    parts = [
+        F.struct(F.lit(number).alias("rule"), F.lit(k).alias("part"), F.lit(len(part)).alias("need"), F.lit(t).alias("asked"))
+        for number, rule in enumerate(rules) for k, part in enumerate(trigram_query(rule.pattern) or []) for t in sorted(part)
+    ]
+    empty = F.array().cast("array<struct<rule:int,part:int,need:int,asked:string>>")
+    asked = index.sparkSession.range(1).select(F.inline(F.array(*parts) if parts else empty))
+    found = index.join(asked, F.col("trigram") == F.col("asked")).groupBy("doc", "rule", "part").agg(
+        F.size(F.collect_set("trigram")).alias("n"), F.max("need").alias("need"))
+    return found.where("n = need").groupBy("doc").agg(F.collect_set("rule").alias("rules"))
 
 
 # ---------------------------------------------------------------- verification
@@ -213,12 +216,12 @@ def scan(docs: DataFrame, scratch: Scratch, rules: Sequence[Rule] = RULES, id_co
     named = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     index = build_index(named, vocabulary(rules), scratch, "doc", "_text")
     chosen = scratch.table(candidates(index, rules), "candidates").withColumnRenamed("doc", "_doc")
-    asked = F.coalesce(F.col("rules"), F.lit(0))
     found = []
     for number, rule in enumerate(rules):
         spans = spans_of(F.col("_text"), rule, number)
         if trigram_query(rule.pattern) is not None:
-            spans = F.when(asked.bitwiseAND(F.lit(1 << number)) != 0, spans).otherwise(F.array())
+            asked = F.coalesce(F.array_contains("rules", number), F.lit(False))
+            spans = F.when(asked, spans).otherwise(F.array())
         found.append(spans)
     names = F.array(*[F.lit(r.kind) for r in rules])
     joined = named.join(chosen, F.col("doc").eqNullSafe(F.col("_doc")), "left")

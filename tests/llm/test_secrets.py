@@ -63,6 +63,36 @@ def test_own_rules_and_full_scan(make_docs, scratch):
     assert got == [(1, "card:8:17,digits:13:17,digits:18:21")]
 
 
+def vendor_rules(n):
+    return [Rule(f"k{i}", f"vendor{chr(97 + i // 26)}{chr(97 + i % 26)}{'xyz'[i % 3] * 3}q{i:02d}[-_]key[-_]([0-9]{{4,}})", 1, 5) for i in range(n)]
+
+
+def test_a_hundred_rules_are_asked_at_once(spark, scratch):
+    """Far more rules and trigrams than a word has bits: every text asks for its own rule alone."""
+    from bizops.llm.secretscan import build_index, candidates
+
+    rules = vendor_rules(100)
+    assert len(vocabulary(rules)) > 300
+    docs = spark.createDataFrame([(i, r.pattern.split("[")[0].upper() + "_key-") for i, r in enumerate(rules)] + [(200, "vendor _key-"), (201, "")], "doc_id bigint, text string")
+    got = candidates(build_index(docs, vocabulary(rules), scratch), rules).collect()
+    assert sorted((r["doc"], list(r["rules"])) for r in got) == [(i, [i]) for i in range(100)]
+
+
+def test_spans_of_many_trigrams(make_docs, scratch):
+    rules = vendor_rules(12)
+    assert len(vocabulary(rules)) > 63
+    names = [r.pattern.split("[")[0] for r in rules]
+    text = " ".join(f"{n}_key-{10_000 + i}" for i, n in enumerate(names)) + f" {names[3]}-key-1234"
+    got = dict(listed(scan(make_docs([(1, text), (2, f"x {names[9]}-key_123456 {names[2]}"), (3, "vendor key"), (4, None)]), scratch, rules)))
+    found = [(m.start(), i, m.end()) for i, r in enumerate(rules) for m in re.finditer(r.pattern, text) if len(m[1]) >= 5]
+    assert len(found) == 12 and got[1] == ",".join(f"k{i}:{a}:{b}" for a, i, b in sorted(found))
+    assert got[2].startswith("k9:2:") and "," not in got[2] and got[3] == got[4] == ""
+
+
+def test_only_rules_without_trigrams(make_docs, scratch):
+    assert listed(scan(make_docs([(1, "ab 123 45")]), scratch, [Rule("digits", r"[0-9]+", 0, 3)])) == [(1, "digits:3:6")]
+
+
 def test_query_is_native_and_right(spark, small):
     got = QUERIES["op2_secret_scan"](spark, small).collect()
     text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
