@@ -86,6 +86,21 @@ def test_run_is_the_stages_and_leaves_nothing(spark, steps):
     assert not left
 
 
+def test_a_failing_query_leaves_nothing(spark, monkeypatch):
+    from bizops.llm import importance
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    fs, path = scratch_module.storage(scratch_module.use_checkpoint_dir(spark))
+    from pyarrow.fs import FileSelector
+
+    monkeypatch.setattr(importance, "histogram", lost)  # the features are written by then
+    with pytest.raises(RuntimeError, match="lost"):
+        QUERIES["op12_importance"](spark, "/root/testdata/sf0.001")
+    assert not [i.path for i in fs.get_file_info(FileSelector(path)) if "importance-" in i.path]
+
+
 def test_stages_on_rows_without_ids_or_text(spark, make_docs, tmp_path):
     spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -106,6 +121,6 @@ def test_sources_keep_to_the_rules():
     for path in [root / "corpus_pipeline.py", *(root / "bizops" / "llm").glob("*.py")]:
         text = path.read_text(encoding="utf-8")
         assert not re.search(r"localCheckpoint|toPandas|crossJoin|\.rdd\b|\.sample\(|tempfile", text), path
-    for name in ("secretscan", "mixing"):
+    for name in ("secretscan", "mixing", "urlfilter"):
         text = (root / "bizops" / "llm" / f"{name}.py").read_text(encoding="utf-8")
         assert not re.search(r"pandas|Arrow|InPandas|udf|numpy", text), name
