@@ -66,3 +66,26 @@ def grouped_once(df: DataFrame, sets: Mapping[str, Sequence[str]], *aggs: Column
     values = [c for c in made.columns if c not in keys and c != _SET]
     number = lambda names: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in names)
     return {name: made.where(F.col(_SET) == number(names)).select(*names, *values) for name, names in sets.items()}
+
+
+def visits(sales: DataFrame, key: str, scales: Mapping[str, int] = {}) -> DataFrame:
+    """Distinct ``customers`` and ``tickets``, ``_revenue`` and ``_margin`` of sale lines by ``key``.
+
+    The joined lines go to a given number of tasks, so that adaptive execution does not merge them by their
+    packed size again and the sums do not share a task's memory with the sorts of the joins before them.
+    The lines that a key has in one block of tickets are in one task.  The two distinct counts expand the
+    customers of such a block, not lines, and what they shuffle are words of bits.
+    """
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    money = ("revenue", "margin")
+    block, bit = id_word(sales, "ticket_id")
+    tickets = sales.withColumns({"_block": block, "_bit": bit}).repartition(tasks, key, "_block").groupBy(key, "_block", "customer_id").agg(
+        F.bit_or("_bit").alias("_tickets"), *[total(c, scales.get(c)).alias(f"_{c}") for c in money])
+    customers, customer = id_word(sales, "customer_id")
+    marked = tickets.withColumns({"_customers": customers, "_seen": customer})
+    words = marked.groupingSets(
+        [[F.col(key), F.col("_block")], [F.col(key), F.col("_customers")]], F.col(key), F.col("_block"), F.col("_customers")
+    ).agg((F.grouping("_block") == 0).alias("_of_block"), *[F.bit_or(c).alias(c) for c in ("_tickets", "_seen")], *[F.sum(f"_{c}").alias(f"_{c}") for c in money])
+    of_block = [F.when(F.col("_of_block"), F.col(c)).alias(c) for c in ("_tickets", *[f"_{c}" for c in money])]
+    return words.select(key, *of_block, F.when(~F.col("_of_block"), F.col("_seen")).alias("_seen")).groupBy(key).agg(
+        count_bits("_seen").alias("customers"), count_bits("_tickets").alias("tickets"), *[F.sum(f"_{c}").alias(f"_{c}") for c in money])

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import dbl, percent_even, ratio
-from bizops.operators.grouped import count_bits, grouped_once, id_word, total
+from bizops.operators.grouped import count_bits, grouped_once, id_word, total, visits
 from bizops.session import cut_lineage
 
 
@@ -37,22 +37,13 @@ def months_covered(sales: DataFrame) -> DataFrame:
     return sales.agg(F.count_distinct(F.trunc("sale_date", "month")).alias("months"))
 
 
-def monthly_kpis(sales: DataFrame, pct_decimals: int = 1) -> DataFrame:
+def monthly_kpis(sales: DataFrame, pct_decimals: int = 1, scales: Mapping[str, int] = {}) -> DataFrame:
     """Revenue, margin, tickets, customers, margin %, average ticket and change on the month before.
 
-    ``pct_decimals=0`` rounds the percentages a second time, to whole numbers.
+    ``pct_decimals=0`` rounds the percentages a second time, to whole numbers.  ``scales`` names
+    columns that hold whole units (see ``grouped.total``).
     """
-    # The lines are summed by ticket first; the two distinct counts then expand tickets, not lines.
-    tickets = sales.groupBy(F.trunc("sale_date", "month").alias("_month"), "ticket_id", "customer_id").agg(
-        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
-    )
-    per_month = tickets.groupBy("_month").agg(
-        F.sum("_revenue").alias("_revenue"),
-        F.sum("_margin").alias("_margin"),
-        F.count_distinct("ticket_id").alias("tickets"),
-        F.count_distinct("customer_id").alias("customers"),
-    )
-    return monthly_of(per_month, pct_decimals)
+    return monthly_of(visits(sales.withColumn("_month", F.trunc("sale_date", "month")), "_month", scales), pct_decimals)
 
 
 def monthly_of(per_month: DataFrame, pct_decimals: int = 1) -> DataFrame:

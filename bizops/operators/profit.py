@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bizops.functions.numeric import count_where, dbl, percent, ratio, sum_where
-from bizops.operators.grouped import count_bits, grouped_once, id_word, total
+from bizops.operators.grouped import count_bits, grouped_once, id_word, total, visits
 from bizops.operators.ordered import percentiles_by
 from bizops.session import cut_lineage
 
@@ -277,18 +277,12 @@ def _ticket_average(words: DataFrame, *keys: str) -> DataFrame:
     ).withColumn("avg_ticket", F.round(ratio("_revenue", "tickets"), 2))
 
 
-def store_ticket(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    """Customers, tickets, revenue, margin and average ticket per store, weakest first."""
-    # The lines are summed by ticket first; the two distinct counts then expand tickets, not lines.
-    tickets = sales.groupBy("store_id", "ticket_id", "customer_id").agg(
-        F.sum("revenue").alias("_revenue"), F.sum("margin").alias("_margin")
-    )
-    sums = tickets.groupBy("store_id").agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("ticket_id").alias("tickets"),
-        F.sum("_revenue").alias("_revenue"),
-        F.sum("_margin").alias("_margin"),
-    )
+def store_ticket(sales: DataFrame, stores: DataFrame, scales: Mapping[str, int] = {}) -> DataFrame:
+    """Customers, tickets, revenue, margin and average ticket per store, weakest first.
+
+    ``scales`` names columns that hold whole units (see ``grouped.total``).
+    """
+    sums = visits(sales, "store_id", scales)
     return (
         sums.join(stores, "store_id")
         .select(

@@ -130,7 +130,7 @@ def retained_customers(s: Star):
        "revenue double, margin double, avg_ticket double")
 def store_ticket(s: Star):
     return profit.store_ticket(
-        s.sales("store_id", "customer_id", "ticket_id", "revenue", "margin"), s.stores()
+        s.sales("store_id", "customer_id", "ticket_id", "revenue", "margin", units=True), s.stores(), UNITS
     )
 
 
@@ -178,7 +178,7 @@ def sales_enriched(s: Star):
 @query("period string, revenue double, margin double, tickets bigint, customers bigint,"
        "margin_pct double, avg_ticket double, revenue_change_pct double")
 def monthly_kpis(s: Star):
-    return kpi.monthly_kpis(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin"))
+    return kpi.monthly_kpis(s.sales("sale_date", "ticket_id", "customer_id", "revenue", "margin", units=True), scales=UNITS)
 
 
 @query("period string, revenue double, margin double, tickets bigint, customers bigint, margin_pct double, avg_ticket double")

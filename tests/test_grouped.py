@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bizops.operators import kpi, profit, quality, rfm
-from bizops.operators.grouped import count_bits, grouped_once, id_word
+from bizops.operators.grouped import count_bits, grouped_once, id_word, visits
 
 
 def distinct(df, keys, col):
@@ -92,3 +92,18 @@ def test_a_repeated_hash_alone_is_no_repeated_row(spark, monkeypatch):
     df = spark.range(50).selectExpr("id AS ticket_id", "'A' AS customer_id", "1 AS qty", "CAST(1 AS DECIMAL(9,2)) AS unit_price", "CAST(1 AS DECIMAL(9,2)) AS revenue")
     got = {r["rule"]: r["failing_rows"] for r in quality.quality_report(df.union(df.limit(4)), df.select("customer_id")).collect()}
     assert got["duplicate_rows"] == 4 and got["orphan_customers"] == 0
+
+
+def test_visits_counts_like_plain_sets(spark):
+    """Tickets of two customers or stores, negative and null ids, ids as text, lines that repeat."""
+    lines = [(i % 3, i % 40 - 20, (i * 7 % 90 - 30) if i % 11 else None, i % 5) for i in range(300)] * 2 + [(1, None, 4, 2)]
+    want = {
+        s: (len({c for k, _, c, _ in lines if k == s and c is not None}), len({t for k, t, _, _ in lines if k == s and t is not None}),
+            sum(v for k, *_, v in lines if k == s)) for s in range(3)}
+    units = spark.createDataFrame(lines, "store_id int, ticket_id bigint, customer_id int, revenue bigint").withColumn("margin", F.col("revenue") * 2)
+    text = units.withColumns({c: F.concat(F.lit("x"), c) for c in ("ticket_id", "customer_id")})
+    for df in (units, text):
+        got = {r["store_id"]: (r["customers"], r["tickets"], r["_revenue"]) for r in visits(df, "store_id").collect()}
+        assert got == want
+    got = visits(units, "store_id", {"revenue": 2, "margin": 2}).where("store_id = 1").first()
+    assert (float(got["_revenue"]), float(got["_margin"])) == (want[1][2] / 100, want[1][2] / 50)

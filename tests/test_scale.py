@@ -187,3 +187,11 @@ def test_whole_tables_not_samples():
     root = pathlib.Path(entry.__file__).parent / "bizops"
     for path in (p for p in root.rglob("*.py") if "llm" not in p.parts):
         assert not re.search(r"\.sample\(|TABLESAMPLE|\.head\(|\.take\(", path.read_text(encoding="utf-8")), path
+
+
+@pytest.mark.parametrize("name", ["store_ticket", "monthly_kpis"])
+def test_joined_lines_are_summed_apart_from_the_joins_sorts(spark, name):
+    """Between the sums by ticket and the joins the lines go to a given number of tasks."""
+    text = plan(entry.queries()[name](spark, FOLDER))
+    before, after = text[:text.index("REPARTITION_BY_NUM")], text[text.index("REPARTITION_BY_NUM"):]
+    assert "Join" in after and "HashAggregate" not in after[:after.index("lineitem")] and before.count("HashAggregate") >= 4
