@@ -195,3 +195,9 @@ def test_joined_lines_are_summed_apart_from_the_joins_sorts(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     before, after = text[:text.index("REPARTITION_BY_NUM")], text[text.index("REPARTITION_BY_NUM"):]
     assert "Join" in after and "HashAggregate" not in after[:after.index("lineitem")] and before.count("HashAggregate") >= 4
+
+
+def test_loaded_star_shuffles_lines_for_its_joins_alone(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(entry.queries()["loaded_star"](spark, FOLDER))
+    assert not re.search(r"hashpartitioning\(store_id#\w+, product_id#\w+, customer_id#\w+", text)
